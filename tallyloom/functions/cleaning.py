@@ -75,7 +75,7 @@ def title_entity(c: Column, lead: int = 3, trail: int = 1) -> Column:
 def list_cell(c: Column) -> Column:
     """Array from a list-valued cell such as `['a', 'b c']`: brackets and quotes removed."""
     bare = F.regexp_replace(c, r"[\[\]'\"]", "")
-    return F.filter(F.transform(F.split(bare, ","), F.trim), lambda item: item != "")
+    return F.filter(F.transform(F.split(bare, ","), lambda item: F.trim(item)), lambda item: item != "")
 
 
 def _squeeze(text: str) -> str:

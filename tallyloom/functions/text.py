@@ -39,15 +39,17 @@ def tokenise(c: Column, mode: str = "blank", keep_empty: bool = True) -> Column:
 
 
 def phrases(tokens: Column, length: int) -> Column:
-    """Every run of `length` adjacent tokens, joined by a blank."""
-    if length == 1:
-        return tokens
-    starts = F.size(tokens) - (length - 1)
-    grams = F.transform(
-        F.sequence(F.lit(1), F.greatest(starts, F.lit(1))),
-        lambda start: F.array_join(F.slice(tokens, start, F.lit(length)), " "),
-    )
-    return F.when(starts >= 1, grams).otherwise(F.array().cast("array<string>"))
+    """Every run of `length` adjacent tokens, joined by a blank.
+
+    Shifted copies of the array are zipped, which takes one walk per word of the phrase. Pass a
+    column rather than a long expression: it is referred to `length` times.
+    """
+    runs = F.greatest(F.size(tokens) - (length - 1), F.lit(0))
+    grams = F.slice(tokens, F.lit(1), runs)
+    for start in range(2, length + 1):
+        following = F.slice(tokens, F.lit(start), runs)
+        grams = F.zip_with(grams, following, lambda a, b: F.concat_ws(" ", a, b))
+    return grams
 
 
 def without_words(tokens: Column, words: Iterable[str]) -> Column:
@@ -62,7 +64,7 @@ def only_words(tokens: Column, words: Iterable[str]) -> Column:
 
 
 def lowered(tokens: Column) -> Column:
-    return F.transform(tokens, F.lower)
+    return F.transform(tokens, lambda token: F.lower(token))
 
 
 def english_stop_words(extra: Iterable[str] = ()) -> list[str]:

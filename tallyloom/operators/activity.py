@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import in_dates, month_key, period_start
@@ -25,16 +25,10 @@ def _posts(post: str | None) -> Column:
 
 
 def activity_share(df: DataFrame, community: str) -> DataFrame:
-    """Posts per community and percent of all: (community, posts, percentage).
-
-    The window spans one row per community, after aggregation.
-    """
-    everything = Window.partitionBy()
-    return (
-        df.groupBy(col(community))
-        .agg(F.count("*").alias("posts"))
-        .withColumn("percentage", F.col("posts") * 100.0 / F.sum("posts").over(everything))
-    )
+    """Posts per community and percent of all: (community, posts, percentage)."""
+    counts = df.groupBy(col(community)).agg(F.count("*").alias("posts"))
+    total = counts.agg(F.sum("posts").alias("n")).scalar()
+    return counts.withColumn("percentage", F.col("posts") * 100.0 / total)
 
 
 def activity_counts(
@@ -152,7 +146,7 @@ def pivot_counts(
     Give the communities: an open pivot would run a job only to find them.
     """
     require(df, [column])
-    counts = df.groupBy(row.alias(row_name)).pivot(column, list(values)).agg(F.count("*"))
+    counts = df.groupBy(row.alias(row_name)).pivot(column, list(values)).agg(F.count(F.lit(1)))
     return counts.fillna(fill, subset=list(values))
 
 

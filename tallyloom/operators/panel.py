@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.ordering import bottom_k, smallest_k, top_k
@@ -144,3 +144,33 @@ def mean_by_presence(
     """Mean measures by whether the flag is present: (status, measures)."""
     status = F.when(col(flag).isNotNull(), present).otherwise(absent).alias("status")
     return df.groupBy(status).agg(*[F.avg(col(name)).alias(name) for name in measures])
+
+
+def entity_panel(
+    facts: DataFrame,
+    key: str,
+    time: Column,
+    measures: Mapping[str, str],
+    dim: DataFrame,
+    dim_key: str,
+    entity: Sequence[str],
+    time_name: str = "year",
+) -> DataFrame:
+    """Mean measures by entity and time, where the entity hangs on a key of the facts.
+
+    Facts are folded to sums and counts by key and time before the join, so a key with a third of
+    the rows reaches the join as one row per time, and the join moves keys, not facts.
+    `measures` maps result names to fact columns.
+    """
+    require(facts, [key, *measures.values()])
+    require(dim, [dim_key, *entity])
+    sums = {name: F.sum(col(source)).alias(f"_s_{name}") for name, source in measures.items()}
+    counts = {name: F.count(col(source)).alias(f"_n_{name}") for name, source in measures.items()}
+    folded = facts.groupBy(col(key).alias("_key"), time.alias(time_name)).agg(
+        *sums.values(), *counts.values()
+    )
+    keyed = dim.select(col(dim_key).alias("_key"), *[col(name) for name in entity])
+    means = [
+        F.try_divide(F.sum(f"_s_{name}"), F.sum(f"_n_{name}")).alias(name) for name in measures
+    ]
+    return folded.join(keyed, "_key").groupBy(*[col(name) for name in entity], time_name).agg(*means)

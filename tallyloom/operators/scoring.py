@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.cleaning import is_present
-from tallyloom.operators.ordering import deciles
+from tallyloom.operators.ordering import DECILES, deciles
 from tallyloom.operators.shaping import col, require
 
 STEP = 0.11
@@ -26,16 +26,19 @@ def decile_score(
     """
     require(df, measures)
     table = deciles(df, measures, exact) if thresholds is None else thresholds
-    lookup = table.agg(
-        F.map_from_entries(F.collect_list(F.struct("measure", "deciles"))).alias("cuts")
-    ).scalar()
-
-    def score(name: str):
-        below = F.filter(F.try_element_at(lookup, F.lit(name)), lambda cut: col(name) > cut)
-        count = F.when(col(name).isNull(), 0).otherwise(F.size(below))
-        return F.round(count * F.lit(STEP), 2)
-
-    return df.withColumns({f"{name}_score": score(name) for name in measures})
+    fields = [
+        F.max(F.when(F.col("measure") == name, F.col("deciles"))).alias(f"m{i}")
+        for i, name in enumerate(measures)
+    ]
+    lookup = table.agg(F.struct(*fields).alias("cuts")).scalar()
+
+    def score(name: str, cuts: Column) -> Column:
+        above = [F.when(col(name) > F.get(cuts, F.lit(i)), 1).otherwise(0) for i in range(len(DECILES))]
+        return F.round(reduce(lambda a, b: a + b, above) * F.lit(STEP), 2)
+
+    return df.withColumns(
+        {f"{name}_score": score(name, lookup[f"m{i}"]) for i, name in enumerate(measures)}
+    )
 
 
 def total_score(df: DataFrame, columns: Sequence[str], to: str) -> DataFrame:

@@ -33,7 +33,10 @@ def lexicon_tokens(tokens: Column, lexicon: Sequence[str], mode: str = "token")
         return only_words(tokens, lexicon)
     if mode != "phrase":
         raise ValueError("mode must be 'token' or 'phrase'")
-    by_length = groupby(sorted(set(lexicon), key=lambda p: len(p.split(" "))), lambda p: len(p.split(" ")))
+    def size(entry: str) -> int:
+        return len(entry.split(" "))
+
+    by_length = groupby(sorted(set(lexicon), key=size), size)
     found = [only_words(phrases(tokens, length), list(entries)) for length, entries in by_length]
     return found[0] if len(found) == 1 else F.concat(*found)
 
@@ -44,9 +47,10 @@ def lexicon_counts(
     """Occurrences of lexicon entries in lower-cased text without punctuation: (by, word, counts)."""
     require(df, [text, *by])
     keys = [col(name) for name in by]
-    hits = lexicon_tokens(tokenise(normalise(col(text))), lexicon, mode)
+    hits = lexicon_tokens(F.col("_tokens"), lexicon, mode)
     return (
-        df.select(*keys, F.explode(hits).alias("word"))
+        df.select(*keys, tokenise(normalise(col(text))).alias("_tokens"))
+        .select(*keys, F.explode(hits).alias("word"))
         .groupBy(*keys, "word")
         .agg(F.count("*").alias("counts"))
     )
