@@ -14,6 +14,9 @@ from tallyloom.functions.lexicons import EXTRA_STOP_WORDS
 KEPT = {"word": r"[^\w\s]", "letters": r"[^a-zA-Z\s]"}
 
 
+BLANKS = " \t\n\x0b\f\r"
+
+
 def normalise(c: Column, keep: str = "word") -> Column:
     """Lower case without punctuation. `keep` is `word` (letters, digits, `_`) or `letters`."""
     return F.regexp_replace(F.lower(c), KEPT[keep], "")
@@ -28,10 +31,11 @@ def tokenise(c: Column, mode: str = "blank", keep_empty: bool = True) -> Column:
     if mode == "blank":
         tokens = F.split(c, " ", -1)
     elif mode == "whitespace":
-        text = F.regexp_replace(F.lower(c), r"\s+$", "")
-        only_blanks = (text == "") & (c != "")
-        tokens = F.when(only_blanks, F.array().cast("array<string>")).otherwise(
-            F.split(text, r"\s", -1)
+        text = F.rtrim(F.lower(c), F.lit(BLANKS))
+        no_token = F.array().cast("array<string>")
+        tokens = F.coalesce(
+            F.split(F.nullif(text, F.lit("")), r"\s", -1),
+            F.when(c == "", F.array(F.lit(""))).when(c.isNotNull(), no_token),
         )
     else:
         raise ValueError("mode must be 'blank' or 'whitespace'")
@@ -52,10 +56,13 @@ def phrases(tokens: Column, length: int) -> Column:
     return grams
 
 
-def without_words(tokens: Column, words: Iterable[str]) -> Column:
-    """Drop stop words whatever their case; other tokens keep their order and number."""
+def without_words(tokens: Column, words: Iterable[str], lowered: bool = False) -> Column:
+    """Drop stop words whatever their case; other tokens keep their order and number.
+
+    Say `lowered` when the tokens are in lower case already.
+    """
     drop = sorted({word.lower() for word in words})
-    return F.filter(tokens, lambda token: ~F.lower(token).isin(*drop))
+    return F.filter(tokens, lambda token: ~(token if lowered else F.lower(token)).isin(*drop))
 
 
 def only_words(tokens: Column, words: Iterable[str]) -> Column:
@@ -63,7 +70,7 @@ def only_words(tokens: Column, words: Iterable[str]) -> Column:
     return F.filter(tokens, lambda token: token.isin(*keep))
 
 
-def lowered(tokens: Column) -> Column:
+def lower_tokens(tokens: Column) -> Column:
     return F.transform(tokens, lambda token: F.lower(token))
 
 

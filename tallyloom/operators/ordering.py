@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.operators.joins import join_by_frequency
 from tallyloom.operators.shaping import col, require
+from tallyloom.sources.tables import rows_table
 
 DECILES = tuple(range(1, 10))
 PIECES = 128
@@ -108,7 +109,7 @@ def _cuts(df: DataFrame, measures: Sequence[str], pieces: int) -> dict[str, list
 
 
 def _pieced(df: DataFrame, measures: Sequence[str], pieces: int) -> DataFrame:
-    """(measure, piece, value), one row per known cell, in ordered pieces of like size."""
+    """(measure number, piece, value), one row per known cell, in ordered pieces of like size."""
     require(df, measures)
     cuts = _cuts(df, measures, pieces)
     wide = df.select(*[col(name).cast("double").alias(f"v{i}") for i, name in enumerate(measures)])
@@ -120,11 +121,11 @@ def _pieced(df: DataFrame, measures: Sequence[str], pieces: int) -> DataFrame:
     ).transform(wide)
     entries = [
         F.struct(
-            F.lit(name).alias("measure"),
+            F.lit(i).alias("measure"),
             F.col(f"p{i}").cast("int").alias("piece"),
             F.col(f"v{i}").alias("value"),
         )
-        for i, name in enumerate(measures)
+        for i in range(len(measures))
     ]
     return cut.select(F.explode(F.array(*entries)).alias("e")).select("e.*").where("value is not null")
 
@@ -134,71 +135,83 @@ def _frequencies(cells: DataFrame) -> DataFrame:
     return cells.groupBy("measure", "piece", "value").agg(F.count("*").alias("rows"))
 
 
-def _piece_offsets(cells: DataFrame) -> DataFrame:
-    """(measure, piece, inside, before, total): at most `pieces` rows per measure."""
-    ordered = Window.partitionBy("measure").orderBy("piece")
-    whole = Window.partitionBy("measure")
-    return (
-        cells.groupBy("measure", "piece")
-        .agg(F.count("*").alias("inside"))
-        .select(
-            "measure",
-            "piece",
-            "inside",
-            (F.sum("inside").over(ordered) - F.col("inside")).alias("before"),
-            F.sum("inside").over(whole).alias("total"),
-        )
-    )
+def _offsets(cells: DataFrame) -> dict[int, list[tuple[int, int, int]]]:
+    """(piece, rows in earlier pieces, rows inside) for each measure: at most PIECES entries."""
+    counted = cells.groupBy("measure", "piece").agg(F.count("*").alias("inside")).collect()
+    found: dict[int, list[tuple[int, int, int]]] = {}
+    for row in sorted(counted, key=lambda r: (r["measure"], r["piece"])):
+        pieces = found.setdefault(row["measure"], [])
+        before = pieces[-1][1] + pieces[-1][2] if pieces else 0
+        pieces.append((row["piece"], before, row["inside"]))
+    return found
 
 
-def _decile_ranks(total: Column) -> Column:
-    """Ranks of the nine deciles in whole numbers: ceil(i * total / 10)."""
-    return F.array(*[F.floor((total * i + 9) / F.lit(10)).cast("bigint") for i in DECILES])
+def _decile_ranks(total: int) -> list[int]:
+    """Ranks of the nine deciles: ceil(i * total / 10)."""
+    return [-(-i * total // 10) for i in DECILES]
 
 
-def deciles(df: DataFrame, measures: Sequence[str], exact: bool = True) -> DataFrame:
-    """(measure, deciles): the nine values below or at which lie 10, 20 .. 90 percent of the rows.
+def decile_values(
+    df: DataFrame, measures: Sequence[str], exact: bool = True
+) -> dict[str, list[float]]:
+    """The nine values at or below which lie 10, 20 .. 90 percent of the known rows of a measure.
 
-    `exact` selects by rank: rough split points, then row counts per piece, then only the pieces
-    that hold a decile are ordered. Otherwise a sketch with relative error 0.001 is used. Nulls do not count.
+    Runs at once, as `approxQuantile` does, and gives nine numbers per measure (none if all are
+    null). `exact` selects by rank: rough split points, then row counts per piece, then only the
+    pieces that hold a decile are ordered. It reads the table three times, so stage a costly one.
+    Otherwise a sketch with relative error 0.001 is used.
     """
     require(df, measures)
     if not exact:
         shares = F.array(*[F.lit(i / 10) for i in DECILES])
-        sketches = F.array(
+        row = df.agg(
             *[
-                F.struct(
-                    F.lit(name).alias("measure"),
-                    F.percentile_approx(col(name).cast("double"), shares, F.lit(1000)).alias(
-                        "deciles"
-                    ),
-                )
+                F.percentile_approx(col(name).cast("double"), shares, F.lit(1000)).alias(name)
                 for name in measures
             ]
-        )
-        return df.agg(sketches.alias("s")).select(F.explode("s").alias("e")).select("e.*")
+        ).first()
+        return {name: list(row[name] or []) for name in measures}
 
     cells = _pieced(df, measures, PIECES)
-    offsets = _piece_offsets(cells).withColumn("ranks", _decile_ranks(F.col("total")))
-    wanted = offsets.where(
-        F.exists(
-            "ranks",
-            lambda r: (r > F.col("before")) & (r <= F.col("before") + F.col("inside")),
-        )
-    ).select("measure", "piece", "before", "ranks")
+    wanted, ranks = [], {}
+    for number, pieces in _offsets(cells).items():
+        ranks[number] = _decile_ranks(pieces[-1][1] + pieces[-1][2])
+        for piece, before, inside in pieces:
+            if any(before < rank <= before + inside for rank in ranks[number]):
+                wanted.append((number, piece, before, ranks[number]))
+    # At most nine pieces per measure, so this side of the join is bounded; the other pieces are
+    # dropped before anything is shuffled by value.
+    schema = "measure int, piece int, before bigint, ranks array<bigint>"
+    chosen = F.broadcast(rows_table(df.sparkSession, wanted, schema))
     inside = Window.partitionBy("measure", "piece").orderBy("value")
-    # At most nine pieces per measure are wanted: the broadcast is bounded, and the other pieces
-    # are dropped before anything is shuffled by value.
-    kept = cells.join(F.broadcast(wanted.select("measure", "piece")), ["measure", "piece"])
-    reached = (
-        _frequencies(kept)
-        .join(F.broadcast(wanted), ["measure", "piece"])
-        .withColumn("reached", F.col("before") + F.sum("rows").over(inside))
+    kept = cells.join(chosen, ["measure", "piece"])
+    reached = F.col("before") + F.sum("rows").over(inside)
+    hits = (
+        kept.groupBy("measure", "piece", "value")
+        .agg(F.count("*").alias("rows"), F.first("before").alias("before"), F.first("ranks").alias("ranks"))
+        .withColumn("reached", reached)
+        .where(
+            F.exists(
+                "ranks",
+                lambda rank: (rank <= F.col("reached")) & (rank > F.col("reached") - F.col("rows")),
+            )
+        )
+        .select("measure", "value", "reached")
+        .collect()  # at most nine rows per measure
     )
-    picks = [
-        F.min(F.when(F.col("reached") >= F.element_at("ranks", i), F.col("value"))) for i in DECILES
-    ]
-    return reached.groupBy("measure").agg(F.array(*picks).alias("deciles"))
+    steps: dict[int, list[tuple[int, float]]] = {number: [] for number in ranks}
+    for row in hits:
+        steps[row["measure"]].append((row["reached"], row["value"]))
+    return {
+        name: [min(step for step in steps[i] if step[0] >= rank)[1] for rank in ranks.get(i, [])]
+        for i, name in enumerate(measures)
+    }
+
+
+def deciles(df: DataFrame, measures: Sequence[str], exact: bool = True) -> DataFrame:
+    """`decile_values` as a table: (measure, deciles)."""
+    values = decile_values(df, measures, exact)
+    return rows_table(df.sparkSession, values.items(), "measure string, deciles array<double>")
 
 
 def global_rank(df: DataFrame, measure: str) -> DataFrame:
@@ -208,16 +221,18 @@ def global_rank(df: DataFrame, measure: str) -> DataFrame:
     by many rows go through the broadcast side of `join_by_frequency`.
     """
     cells = _pieced(df, [measure], PIECES)
-    inside = Window.partitionBy("measure", "piece").orderBy("value")
+    pieces = _offsets(cells).get(0, [])
+    total = pieces[-1][1] + pieces[-1][2] if pieces else 0
+    before = rows_table(df.sparkSession, [p[:2] for p in pieces], "piece int, before bigint")
+    inside = Window.partitionBy("piece").orderBy("value")
     # One measure has at most PIECES offsets.
     ranked = (
         _frequencies(cells)
-        .join(F.broadcast(_piece_offsets(cells)), ["measure", "piece"])
-        .withColumn("reached", F.col("before") + F.sum("rows").over(inside))
+        .join(F.broadcast(before), "piece")
         .select(
             F.col("value").alias("_value"),
             F.col("rows").alias("_rows"),
-            (F.col("total") - F.col("reached") + 1).alias("rank"),
+            (total + 1 - F.col("before") - F.sum("rows").over(inside)).alias("rank"),
         )
     )
     valued = df.withColumn("_value", col(measure).cast("double"))

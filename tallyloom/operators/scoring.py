@@ -9,36 +9,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.cleaning import is_present
-from tallyloom.operators.ordering import DECILES, deciles
+from tallyloom.operators.ordering import decile_values
 from tallyloom.operators.shaping import col, require
 
 STEP = 0.11
 
 
 def decile_score(
-    df: DataFrame, measures: Sequence[str], thresholds: DataFrame | None = None, exact: bool = True
+    df: DataFrame,
+    measures: Sequence[str],
+    thresholds: Mapping[str, Sequence[float]] | None = None,
+    exact: bool = True,
 ) -> DataFrame:
     """Add `<measure>_score`: 0.11 for each decile strictly below the value, so 0.00 to 0.99.
 
-    Fill nulls first (`fill_sentinels`) so that unreported rows take part in the deciles; a value
-    still null scores 0. `thresholds` is the output of `ordering.deciles`. It has one row per
-    measure and reaches the rows as one scalar subquery.
+    Fill nulls first (`fill_unreported`) so that unreported rows take part in the deciles; a value
+    still null scores 0. `thresholds` is the result of `ordering.decile_values`, which is taken
+    from the table itself if not given; the scores are then plain comparisons with nine numbers.
     """
     require(df, measures)
-    table = deciles(df, measures, exact) if thresholds is None else thresholds
-    fields = [
-        F.max(F.when(F.col("measure") == name, F.col("deciles"))).alias(f"m{i}")
-        for i, name in enumerate(measures)
-    ]
-    lookup = table.agg(F.struct(*fields).alias("cuts")).scalar()
-
-    def score(name: str, cuts: Column) -> Column:
-        above = [F.when(col(name) > F.get(cuts, F.lit(i)), 1).otherwise(0) for i in range(len(DECILES))]
-        return F.round(reduce(lambda a, b: a + b, above) * F.lit(STEP), 2)
-
-    return df.withColumns(
-        {f"{name}_score": score(name, lookup[f"m{i}"]) for i, name in enumerate(measures)}
-    )
+    cuts = decile_values(df, measures, exact) if thresholds is None else thresholds
+
+    def score(name: str) -> Column:
+        above = [F.when(col(name) > cut, 1).otherwise(0) for cut in cuts[name]]
+        return F.round(reduce(lambda a, b: a + b, above, F.lit(0)) * F.lit(STEP), 2)
+
+    return df.withColumns({f"{name}_score": score(name) for name in measures})
 
 
 def total_score(df: DataFrame, columns: Sequence[str], to: str) -> DataFrame:

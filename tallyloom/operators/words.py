@@ -79,10 +79,9 @@ def word_list(
 ) -> DataFrame:
     """Every word of the corpus as a row: the feed of a word cloud. Stop words are optional."""
     require(df, [text])
-    tokens = tokenise(normalise(col(text), keep))
-    if stop_words:
-        tokens = without_words(tokens, stop_words)
-    return df.select(F.explode(tokens).alias("word"))
+    words = df.select(F.explode(tokenise(normalise(col(text), keep))).alias("word"))
+    drop = sorted({word.lower() for word in stop_words})
+    return words.where(~F.col("word").isin(*drop)) if drop else words
 
 
 def word_counts(
@@ -94,7 +93,7 @@ def word_counts(
 
 def topic_tokens(text: Column, stop_words: Sequence[str]) -> Column:
     """Tokens as topic mining sees them: letters only, cut at whitespace, stop words dropped."""
-    return without_words(tokenise(normalise(text, "letters"), "whitespace"), stop_words)
+    return without_words(tokenise(normalise(text, "letters"), "whitespace"), stop_words, lowered=True)
 
 
 def cooccurrence(
@@ -103,10 +102,12 @@ def cooccurrence(
     """Words of the posts that contain the anchor, the anchor left out: (word, counts)."""
     require(df, [text])
     tokens = F.col("_tokens")
+    # The test sits in the exploded expression: as a filter it would be pushed below the
+    # projection and the text would be cut into tokens twice.
+    others = F.filter(tokens, lambda token: token != anchor)
     return (
         df.select(topic_tokens(col(text), stop_words).alias("_tokens"))
-        .where(F.array_contains(tokens, anchor))
-        .select(F.explode(F.filter(tokens, lambda token: token != anchor)).alias("word"))
+        .select(F.explode(F.when(F.array_contains(tokens, anchor), others)).alias("word"))
         .groupBy("word")
         .agg(F.count("*").alias("counts"))
     )
@@ -152,15 +153,6 @@ def term_frequencies(df: DataFrame, id: str, tokens: Column) -> DataFrame:
     )
 
 
-def document_frequencies(df: DataFrame, tokens: Column) -> DataFrame:
-    """(word, df): documents that contain the word. Repeats go inside the document's own array."""
-    return (
-        df.select(F.explode(F.array_distinct(tokens)).alias("word"))
-        .groupBy("word")
-        .agg(F.count("*").alias("df"))
-    )
-
-
 def tfidf(
     df: DataFrame, id: str, text: str, stop_words: Sequence[str] = (), min_df: int = 1
 ) -> DataFrame:
@@ -172,7 +164,8 @@ def tfidf(
     require(df, [id, text])
     tokens = topic_tokens(col(text), stop_words)
     documents = df.agg(F.count("*").alias("n")).scalar()
-    words = document_frequencies(df, tokens).where(F.col("df") >= min_df)
-    joined = join_by_frequency(term_frequencies(df, id, tokens), words, "word", "df")
+    terms = term_frequencies(df, id, tokens)
+    words = terms.groupBy("word").agg(F.count("*").alias("df")).where(F.col("df") >= min_df)
+    joined = join_by_frequency(terms, words, "word", "df")
     idf = F.ln((documents + 1) / (F.col("df") + 1))
     return joined.select(col(id), "word", "tf", "df", (F.col("tf") * idf).alias("tfidf"))

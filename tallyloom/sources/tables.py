@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.ml.util import JavaMLReadable, MLWritable
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 
 def read_strings(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
@@ -50,8 +52,26 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
 
 
 def rows_table(spark: SparkSession, rows: Iterable[tuple], schema: StructType | str) -> DataFrame:
-    """Small constants as a DataFrame."""
-    return spark.createDataFrame(list(rows), schema)
+    """Small constants as a DataFrame.
+
+    Handed over as an Arrow table they become a local relation: its size is known to the planner,
+    and no Python worker is started to read it.
+    """
+    fields = _parse_datatype_string(schema) if isinstance(schema, str) else schema
+    columns = list(zip(*rows)) or [()] * len(fields)
+    arrow = to_arrow_schema(fields)
+    arrays = [pa.array(column, field.type) for column, field in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), fields)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal out the rows of a table that has fewer files than the cluster has task slots.
+
+    A file may hold a single row group, which one task reads; heavy work per row would then run in
+    as many tasks as there are files. A large table has files enough and is left as it is.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots, key) if len(df.inputFiles()) < slots else df
 
 
 def write_table(

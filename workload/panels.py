@@ -31,6 +31,7 @@ from tallyloom.operators.scoring import (
     total_score,
 )
 from tallyloom.operators.shaping import enrich, fill_sentinels
+from tallyloom.session import stage
 from workload.registry import query, rounded, table
 
 MEASURES = {
@@ -251,6 +252,7 @@ FACILITY_NAMES = ["lines", "units", "large"]
 
 
 def _facilities(spark, sf):
+    """Staged, as the survey tables are: scoring reads its measures several times."""
     large = F.count_if(F.col("l_quantity") > 48)
     df = (
         table(spark, sf, "lineitem")
@@ -261,7 +263,7 @@ def _facilities(spark, sf):
             F.when(large >= 2, large).cast("double").alias("large"),
         )
     )
-    return fill_unreported(df, FACILITY_NAMES)
+    return stage(fill_unreported(df, FACILITY_NAMES), "facilities")
 
 
 def _scores(names: list[str], source: str) -> str:

@@ -8,12 +8,12 @@ from tallyloom.functions import text as tx
 from tallyloom.functions.lexicons import EXTRA_STOP_WORDS
 from tallyloom.operators import topics, words
 from tallyloom.operators.ordering import rank_top_bottom
-from tallyloom.sources.tables import rows_table
+from tallyloom.sources.tables import rows_table, spread
 from workload.registry import query, rounded, table
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents")
+    return spread(table(spark, sf, "documents"), "doc_id")
 
 
 def _quoted(items) -> str:
