@@ -103,8 +103,10 @@ def _cuts(df: DataFrame, measures: Sequence[str], pieces: int) -> dict[str, list
             for name in measures
         ]
     ).first()
+    # A bucketizer needs one inner split whatever the data; NaN cannot be one.
+    always = {float("-inf"), 0.0, float("inf")}
     return {
-        name: [float("-inf"), *sorted(set(row[name] or [])), float("inf")] for name in measures
+        name: sorted({cut for cut in row[name] or [] if cut == cut} | always) for name in measures
     }
 
 

@@ -206,10 +206,10 @@ def basic_info(survey: DataFrame, rates: DataFrame) -> DataFrame:
     """Basic facts with the expenditure in the target currency."""
     raw = col("expenditure($)")
     priced = build_dim(survey, BASIC).withColumns(
-        {"_amount": currency_amount(raw), "_currency": currency_code(raw)}
+        {"expenditure_amount": currency_amount(raw), "expenditure_currency": currency_code(raw)}
     )
     converted = convert_currency(
-        priced, "_amount", "_currency", rates, TARGET_CURRENCY, "expenditure_cad"
+        priced, "expenditure_amount", "expenditure_currency", rates, TARGET_CURRENCY, "expenditure_cad"
     )
     return converted.select(KEY, "population", "income_group", "who_region", "expenditure_cad")
 
