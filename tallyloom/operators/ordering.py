@@ -238,4 +238,5 @@ def global_rank(df: DataFrame, measure: str) -> DataFrame:
         )
     )
     valued = df.withColumn("_value", col(measure).cast("double"))
-    return join_by_frequency(valued, ranked, "_value", "_rows").drop("_value", "_rows")
+    joined = join_by_frequency(valued, ranked, "_value", "_rows", F.lit(total))
+    return joined.drop("_value", "_rows")

@@ -21,6 +21,7 @@ from tallyloom.functions.text import (
 )
 from tallyloom.operators.joins import join_by_frequency
 from tallyloom.operators.shaping import col, require
+from tallyloom.session import stage
 
 
 def lexicon_tokens(tokens: Column, lexicon: Sequence[str], mode: str = "token") -> Column:
@@ -158,13 +159,14 @@ def tfidf(
 ) -> DataFrame:
     """TF-IDF of every word of every document: (id, word, tf, df, tfidf).
 
-    idf = ln((documents + 1) / (df + 1)). Word frequencies are known before the join, so common
-    words are joined by broadcast and only rare ones by a shuffle.
+    idf = ln((documents + 1) / (df + 1)). The (document, word) table is staged in the shared folder
+    first, since several steps read it: texts are cut into tokens once. Word frequencies are known
+    before the join, so common words are joined by broadcast and only rare ones by a shuffle.
     """
     require(df, [id, text])
     tokens = topic_tokens(col(text), stop_words)
     documents = df.agg(F.count("*").alias("n")).scalar()
-    terms = term_frequencies(df, id, tokens)
+    terms = stage(term_frequencies(df, id, tokens), "terms")
     words = terms.groupBy("word").agg(F.count("*").alias("df")).where(F.col("df") >= min_df)
     joined = join_by_frequency(terms, words, "word", "df")
     idf = F.ln((documents + 1) / (F.col("df") + 1))

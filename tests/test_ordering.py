@@ -63,7 +63,7 @@ def test_join_by_frequency_keeps_every_row(frame, rows):
     counts = {k: keys.count(k) for k in set(keys) - {"unknown"}}
     keyed = frame(list(counts.items()), "k string, n int")
     for hot_keys in (1, 3, 1000):
-        joined = join_by_frequency(fact, keyed, "k", "n", hot_keys)
+        joined = join_by_frequency(fact, keyed, "k", "n", hot_keys=hot_keys)
         expected = sorted((k, i, counts[k]) for i, k in enumerate(keys) if k in counts)
         assert sorted(rows(joined.select("k", "id", "n"))) == expected
 

@@ -84,10 +84,10 @@ def entity_year_panel(spark, sf):
 @query(f"""WITH {PANEL}, m AS (SELECT n_name, avg(price) AS v FROM panel GROUP BY 1),
     chosen AS (SELECT n_name FROM (SELECT n_name FROM m ORDER BY v DESC NULLS LAST, n_name LIMIT 5)
     UNION SELECT n_name FROM (SELECT n_name FROM m ORDER BY v ASC NULLS FIRST, n_name DESC LIMIT 5))
-    SELECT year, n_name, round(price, 4) AS price FROM panel WHERE n_name IN (SELECT n_name FROM chosen)
-    UNION ALL SELECT year, 'Mean', round(avg(price), 4) FROM panel GROUP BY year""")
+    SELECT year, n_name, round(price, 6) AS price FROM panel WHERE n_name IN (SELECT n_name FROM chosen)
+    UNION ALL SELECT year, 'Mean', round(avg(price), 6) FROM panel GROUP BY year""")
 def top_bottom_series(spark, sf):
-    return rounded(top_bottom_with_mean(_panel(spark, sf), "n_name", "year", "price"), ["price"], 4)
+    return rounded(top_bottom_with_mean(_panel(spark, sf), "n_name", "year", "price"), ["price"])
 
 
 @query(f"""WITH {PANEL}, w AS (SELECT r_name FROM panel GROUP BY 1 ORDER BY avg(quantity) DESC, r_name LIMIT 1)
@@ -114,13 +114,13 @@ def _enriched_orders(spark, sf):
 
 
 @query(f"""WITH {ENRICHED}, w AS (SELECT c_mktsegment FROM enriched GROUP BY 1 ORDER BY avg(o_totalprice) DESC, 1 LIMIT 1)
-    SELECT c_mktsegment, n_name, round(avg(o_totalprice), 4) AS o_totalprice FROM enriched
+    SELECT c_mktsegment, n_name, round(avg(o_totalprice), 6) AS o_totalprice FROM enriched
     WHERE c_mktsegment IN (SELECT c_mktsegment FROM w) GROUP BY 1, 2""")
 def worst_income_group(spark, sf):
     df = worst_group_drilldown(
         _enriched_orders(spark, sf), "c_mktsegment", "n_name", "o_totalprice"
     )
-    return rounded(df, ["o_totalprice"], 4)
+    return rounded(df, ["o_totalprice"])
 
 
 @query(f"WITH {ENRICHED} SELECT o_orderkey, c_mktsegment, n_name, r_name FROM enriched")
@@ -183,12 +183,12 @@ def _customer_orders(spark, sf):
     )
 
 
-@query(f"""{UNION} SELECT n_name, round(balance, 4) AS balance, round(orders, 6) AS orders FROM
+@query(f"""{UNION} SELECT n_name, round(balance, 6) AS balance, round(orders, 6) AS orders FROM
     ({_picks('m', 'n_name', ['balance', 'orders'], True)})""")
 def top_bottom_by_two_measures(spark, sf):
     df = _customer_orders(spark, sf).withColumnRenamed("c_acctbal", "balance")
     df = top_bottom_union(df, ["n_name"], ["balance", "orders"])
-    return rounded(rounded(df, ["balance"], 4), ["orders"])
+    return rounded(rounded(df, ["balance"]), ["orders"])
 
 
 @query(f"""WITH f AS (SELECT ({FLAG}) IS NOT NULL AS present, c_custkey, c_acctbal, CAST(orders AS BIGINT) AS orders FROM customer
@@ -202,14 +202,14 @@ def presence_split(spark, sf):
 
 
 @query(f"""SELECT CASE WHEN ({FLAG}) IS NULL THEN 'No programme' ELSE 'Programme' END AS status,
-    round(avg(o_totalprice), 4) AS o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
+    round(avg(o_totalprice), 6) AS o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
 def presence_means(spark, sf):
     customer = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("o_custkey"), F.expr(FLAG).alias("flag")
     )
     df = enrich(table(spark, sf, "orders"), customer, ["o_custkey"], ["flag"])
     means = mean_by_presence(df, "flag", ["o_totalprice"], "Programme", "No programme")
-    return rounded(means, ["o_totalprice"], 4)
+    return rounded(means, ["o_totalprice"])
 
 
 @query("""SELECT s_suppkey, coalesce(nullif(s_acctbal, -1), -1) AS balance, n_name, r_name FROM supplier
