@@ -158,7 +158,8 @@ def tfidf_weights(spark, sf):
 def tfidf_features(spark, sf):
     """Spark ML stages; one row per document with the size of its vector."""
     _, features = topics.fit_features(
-        _docs(spark, sf), "doc_id", "text", tx.topic_stop_words(), vocab_size=1 << 14, min_df=2
+        _docs(spark, sf), "doc_id", "text", tx.topic_stop_words(), vocab_size=1 << 14, min_df=2,
+        keep=["filtered_words", "features"],
     )
     return features.select("doc_id", F.size("filtered_words").alias("tokens"))
 
