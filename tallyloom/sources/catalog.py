@@ -16,7 +16,7 @@ class Catalog:
     inputs: str
     outputs: str
 
-    # Raw files, below `inputs`.
+    # Raw files, below `inputs`. The layout in which the data sets are kept.
     survey: str = "atlas_csv/MH_Database_Combined_Countries.csv"
     programmes: str = "atlas_csv/MH_Database_Table_Combined.csv"
     rates: str = "atlas_csv/rates.csv"
