@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -55,3 +55,28 @@ def extended(schema: StructType, ddl: str) -> StructType:
 def crc_fold(doc_id: Column, folds: int) -> Column:
     """Fold of a document: crc32 of its id as text, modulo `folds`; a null id is in fold 0."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds, F.lit(0))
+
+
+def bounded_sample(df: DataFrame, by: str, bound: int, seed: int = 17) -> DataFrame:
+    """At most `bound` rows of each value of `by`, chosen by a hash of doc_id, whatever the size.
+
+    A threshold on the hash cuts each value to about twice the bound before anything is ordered, so
+    the exact cut sorts few rows. `by` must have few values (they are counted on the driver); rows
+    without one are left out. For fitting models only.
+    """
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed)), F.lit(1 << 30))
+    known = df.where(F.col(by).isNotNull())
+    counts = known.groupBy(by).count().collect()
+    if not counts:
+        return df.limit(0)
+    limit = F.create_map(
+        *(F.lit(x) for r in counts for x in (r[by], int(2 * bound / r["count"] * (1 << 30)) + 1))
+    )
+    order = Window.partitionBy(by).orderBy("_place", "doc_id")
+    return (
+        known.withColumn("_place", place)
+        .where(F.col("_place") < limit[F.col(by)])
+        .withColumn("_rank", F.row_number().over(order))
+        .where(F.col("_rank") <= bound)
+        .drop("_place", "_rank")
+    )

@@ -1,4 +1,10 @@
 """All queries of this subpackage; importing it registers them."""
 
-from tallyloom.llm import decontamination  # noqa: F401
+from tallyloom.llm import (  # noqa: F401
+    debruijn,
+    decontamination,
+    language,
+    simhash,
+    toxicity,
+)
 from tallyloom.llm.base import QUERIES, SQL  # noqa: F401
