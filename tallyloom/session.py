@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+WAREHOUSE_KEY = "spark.sql.warehouse.dir"
 
 # Settings every job relies on. Shuffle parallelism is left to the cluster: adaptive execution
 # merges small partitions and splits skewed ones at run time.
@@ -33,24 +33,36 @@ def build_session(name: str = "tallyloom", master: str | None = None, **settings
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir.
+    """The folder named by spark.checkpoint.dir; where it is unset, one in the warehouse, which
+    driver and executors share as well. Never a temporary folder of one machine."""
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.conf.get(WAREHOUSE_KEY) + "/_staged"
+    return folder.rstrip("/")
+
+
+_staged: list[str] = []
 
-    A temporary folder stands in only in local mode, where one machine is the whole cluster.
-    """
-    folder = spark.conf.get(CHECKPOINT_KEY, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="tallyloom-")
+
+def unique_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, deleted by `clear_staged`."""
+    path = f"{shared_folder(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    _staged.append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
-    Used before iterative fits: each pass then scans columnar files, and a lost executor costs a
-    re-read rather than a recomputation of everything upstream.
+    Cuts lineage: each later pass scans columnar files, and a lost executor costs a re-read rather
+    than a recomputation of everything upstream. The folder stays until `clear_staged`.
     """
-    path = f"{shared_folder(df.sparkSession)}/staged/{label}-{uuid.uuid4().hex}"
+    path = unique_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete all that this process has staged. Call it when no result that reads it is needed."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _staged:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(conf).delete(path, True)
