@@ -28,8 +28,12 @@ def query(sql: str | None = None):
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -39,9 +43,12 @@ def with_row_key(df: DataFrame, name: str = "row_key") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def ascii_lower(text: Column) -> Column:
-    """Lower-case A-Z and nothing else."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of df has it, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:

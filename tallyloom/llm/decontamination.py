@@ -154,7 +154,7 @@ def contamination(
 ) -> DataFrame:
     """Per row of `documents` the words inside a benchmark window and the items they come from.
 
-    Adds to doc_id: n_words, n_hit, item_ids (sorted strings). Texts are compared as runs of
+    Adds to row_key and doc_id: n_words, n_hit, item_ids (sorted strings). Texts are compared as runs of
     lower-cased words; a null or empty text has no words and no hits, and a null or empty item has
     no windows. An item of fewer than `window` words is one window. Repeated rows of documents are
     answered one by one, repeated items name their item_id once, a null item_id is left out of
@@ -213,6 +213,7 @@ def contamination(
         )
 
     return per_row.select(
+        "row_key",
         "doc_id",
         "n_words",
         F.aggregate("hits", start, cover, lambda s: s["covered"]).alias("n_hit"),

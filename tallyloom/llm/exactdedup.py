@@ -78,7 +78,7 @@ def deduplicate(
     digest: Callable[[Column], Column] = sha256,
     **trigger: str,
 ) -> DataFrame:
-    """Group the rows of the Parquet table at `path` by identical text.
+    """Group the rows of the Parquet table at `path` (a folder or a pattern) by identical text.
 
     Gives doc_id, keep_id (the largest doc_id of the group, null ids only if there is no other),
     group_size, kept and text_sha256. Null counts as empty text. Of repeated rows with the largest
@@ -131,4 +131,5 @@ g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
 FROM d JOIN g USING (t)""")
 def op2_exact_dedup(spark, sf_dir):
-    return deduplicate(spark, f"{sf_dir}/documents.parquet")
+    # A pattern, as a file stream takes a folder or a pattern, and the table may be a single file.
+    return deduplicate(spark, f"{sf_dir}/documents.parquet*")
