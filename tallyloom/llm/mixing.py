@@ -89,7 +89,7 @@ def running_sums(ordered: DataFrame, group: str, value: str, label: str) -> Data
 
 def schedule(spark, shares: list[float], n_slots: int) -> DataFrame:
     """The slots: slot, source (index of the share), rank among the slots of the source."""
-    total = sum(shares)
+    total = sum(shares) or 1.0
     bounds = np.array(
         [min(int(x / total * 2**64), 2**64 - 1) for x in np.cumsum(shares)[:-1]], np.uint64
     )
@@ -148,7 +148,7 @@ def mix(documents: DataFrame, weights=(1, 2, 3), repeats: int = REPEATS, seed: i
     known = measured.join(F.broadcast(sources), measured["name"].eqNullSafe(sources["name"])).select(
         "row_key", "doc_id", "source", "size", "source_size", "target", "key", "tie"
     )
-    slots = stage(schedule(spark, goals or [1.0], n_slots if total else 0), "schedule")
+    slots = stage(schedule(spark, goals, n_slots), "schedule")
     filled = slots.groupBy("source").agg((F.max("rank") + 1).alias("slots"))
 
     parts = max(1, sum(r["n"] for r in stats) // ROWS_PER_PART, spark.sparkContext.defaultParallelism)

@@ -291,7 +291,7 @@ def write_shards(documents: DataFrame, path: str, tokenizer: str, shard_tokens:
                 names=["part", "place", "before", "n_tokens", "shard"],
             )
 
-        for batch in bw.chunks(batches, 1 << 20):
+        for batch in bw.chunks(batches, min(1 << 20, 4 * shard_tokens)):
             found, counts = encoder.encode(column(batch, "text").to_pylist())
             ids.append(found)
             doc_ids += column(batch, "doc_id").to_pylist()
