@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyloom.functions.lexicons import EXTRA_STOP_WORDS
+from tallyloom.functions.lexicons import ENGLISH_STOP_WORDS, EXTRA_STOP_WORDS
 
 # Characters kept by `normalise`; both word classes are ASCII.
 KEPT = {"word": r"[^\w\s]", "letters": r"[^a-zA-Z\s]"}
@@ -75,8 +74,8 @@ def lower_tokens(tokens: Column) -> Column:
 
 
 def english_stop_words(extra: Iterable[str] = ()) -> list[str]:
-    """Spark's English list plus additions. Needs a running session."""
-    return StopWordsRemover.loadDefaultStopWords("english") + list(extra)
+    """Spark's English list plus additions."""
+    return ENGLISH_STOP_WORDS + list(extra)
 
 
 def topic_stop_words() -> list[str]:

@@ -20,13 +20,23 @@ def conform(
 ) -> DataFrame:
     """Look up the raw name in a dictionary and add the columns it gives.
 
-    The raw name stays. `entry` is the dictionary's name column. `how` is `left` to keep rows
-    without an entry, `inner` to drop them, `right` to keep every dictionary entry.
+    The raw name stays. `entry` is the dictionary's name column and must not repeat, as facts would
+    be multiplied. `how` is `left` to keep rows without an entry, `inner` to drop them, `right` to
+    keep every dictionary entry: entries without a row are added to the inner join, whose dictionary
+    side Spark can broadcast, as it cannot in a right join; only distinct names are looked up for it.
     """
     require(df, [name])
     require(dictionary, [entry, *add])
+    repeated = dictionary.groupBy(col(entry)).agg(F.count("*").alias("n")).where("n > 1").head(3)
+    if repeated:
+        raise ValueError(f"dictionary names that repeat: {[row[0] for row in repeated]}")
     right = dictionary.select(col(entry).alias("_entry"), *[col(c) for c in add])
-    return df.join(right, col(name) == F.col("_entry"), how).drop("_entry")
+    if how != "right":
+        return df.join(right, col(name) == F.col("_entry"), how).drop("_entry")
+    found = df.join(right, col(name) == F.col("_entry")).drop("_entry")
+    names = df.select(col(name).alias("_name")).distinct()
+    missing = right.join(names, F.col("_entry") == F.col("_name"), "left_anti").drop("_entry")
+    return found.unionByName(missing, allowMissingColumns=True)
 
 
 def name_list(df: DataFrame, name: str) -> DataFrame:

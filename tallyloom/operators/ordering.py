@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.operators.joins import join_by_frequency
 from tallyloom.operators.shaping import col, require
+from tallyloom.session import stage
 from tallyloom.sources.tables import rows_table
 
 DECILES = tuple(range(1, 10))
-PIECES = 128
+#: Distinct values ordered together in one task.
+PART_ROWS = 1_000_000
 
 
 def top_k(df: DataFrame, measure: str, key: str | Sequence[str], k: int) -> DataFrame:
@@ -94,149 +95,103 @@ def rank_top_bottom(
     )
 
 
-def _cuts(df: DataFrame, measures: Sequence[str], pieces: int) -> dict[str, list[float]]:
-    """Approximate split points of each measure: a fixed number of values, whatever the data."""
-    shares = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    row = df.agg(
-        *[
-            F.percentile_approx(col(name).cast("double"), shares, F.lit(20 * pieces)).alias(name)
-            for name in measures
-        ]
-    ).first()
-    # A bucketizer needs one inner split whatever the data; NaN cannot be one.
-    always = {float("-inf"), 0.0, float("inf")}
-    return {
-        name: sorted({cut for cut in row[name] or [] if cut == cut} | always) for name in measures
-    }
-
-
-def _pieced(df: DataFrame, measures: Sequence[str], pieces: int) -> DataFrame:
-    """(measure number, piece, value), one row per known cell, in ordered pieces of like size."""
-    require(df, measures)
-    cuts = _cuts(df, measures, pieces)
-    wide = df.select(*[col(name).cast("double").alias(f"v{i}") for i, name in enumerate(measures)])
-    cut = Bucketizer(
-        inputCols=[f"v{i}" for i in range(len(measures))],
-        outputCols=[f"p{i}" for i in range(len(measures))],
-        splitsArray=[cuts[name] for name in measures],
-        handleInvalid="keep",
-    ).transform(wide)
-    entries = [
-        F.struct(
-            F.lit(i).alias("measure"),
-            F.col(f"p{i}").cast("int").alias("piece"),
-            F.col(f"v{i}").alias("value"),
-        )
-        for i in range(len(measures))
-    ]
-    return cut.select(F.explode(F.array(*entries)).alias("e")).select("e.*").where("value is not null")
-
-
-def _frequencies(cells: DataFrame) -> DataFrame:
-    """(measure, piece, value, rows). Repeated values are folded before the shuffle."""
-    return cells.groupBy("measure", "piece", "value").agg(F.count("*").alias("rows"))
-
+def sorted_frequencies(
+    df: DataFrame, measure: str, part_rows: int = PART_ROWS
+) -> tuple[DataFrame, dict[int, int], int]:
+    """Distinct known values of a measure in order, with their rows.
 
-def _offsets(cells: DataFrame) -> dict[int, list[tuple[int, int, int]]]:
-    """(piece, rows in earlier pieces, rows inside) for each measure: at most PIECES entries."""
-    counted = cells.groupBy("measure", "piece").agg(F.count("*").alias("inside")).collect()
-    found: dict[int, list[tuple[int, int, int]]] = {}
-    for row in sorted(counted, key=lambda r: (r["measure"], r["piece"])):
-        pieces = found.setdefault(row["measure"], [])
-        before = pieces[-1][1] + pieces[-1][2] if pieces else 0
-        pieces.append((row["piece"], before, row["inside"]))
-    return found
-
-
-def _decile_ranks(total: int) -> list[int]:
+    Returns (value, rows, part), the rows before each part, and all known rows. Values keep their
+    own type. Repeated values are folded before the shuffle; the number of parts follows from the
+    number of distinct values, so no part outgrows about `part_rows` of them, and only one number
+    per part reaches the driver. The table is staged: its parts must not change between passes.
+    """
+    require(df, [measure])
+    known = df.select(col(measure).alias("value")).where("value is not null")
+    counts = stage(known.groupBy("value").agg(F.count("*").alias("rows")), "frequencies")
+    parts = max(1, -(-counts.count() // part_rows))
+    dealt = counts.repartitionByRange(parts, "value").withColumn("part", F.spark_partition_id())
+    table = stage(dealt, "sorted-frequencies")
+    totals = {r["part"]: r["n"] for r in table.groupBy("part").agg(F.sum("rows").alias("n")).collect()}
+    before, seen = {}, 0
+    for part in sorted(totals):
+        before[part] = seen
+        seen += totals[part]
+    return table, before, seen
+
+
+def _reached(table: DataFrame, before: dict[int, int]) -> DataFrame:
+    """Add `reached`: the rows at or below each value. Windows stay inside a part of bounded size."""
+    offsets = rows_table(table.sparkSession, before.items(), "part int, before bigint")
+    inside = Window.partitionBy("part").orderBy("value")
+    return table.join(offsets, "part").withColumn("reached", F.col("before") + F.sum("rows").over(inside))
+
+
+def decile_ranks(total: int) -> list[int]:
     """Ranks of the nine deciles: ceil(i * total / 10)."""
-    return [-(-i * total // 10) for i in DECILES]
+    return [-(-i * total // 10) for i in DECILES] if total else []
+
+
+def _exact_deciles(df: DataFrame, measure: str) -> list:
+    table, before, total = sorted_frequencies(df, measure)
+    ranks = decile_ranks(total)
+    if not ranks:
+        return []
+    starts = sorted(before.items(), key=lambda item: item[1])
+    wanted = {[part for part, n in starts if n < rank][-1] for rank in ranks}
+    chosen = table.where(F.col("part").isin(*wanted))  # at most nine parts
+    hit = F.exists(
+        F.array(*[F.lit(rank) for rank in ranks]),
+        lambda rank: (rank <= F.col("reached")) & (rank > F.col("reached") - F.col("rows")),
+    )
+    steps = _reached(chosen, before).where(hit).select("reached", "value").collect()  # at most nine
+    return [min((s for s in steps if s["reached"] >= rank), key=lambda s: s["reached"])["value"] for rank in ranks]
 
 
-def decile_values(
-    df: DataFrame, measures: Sequence[str], exact: bool = True
-) -> dict[str, list[float]]:
+def decile_values(df: DataFrame, measures: Sequence[str], exact: bool = True) -> dict[str, list]:
     """The nine values at or below which lie 10, 20 .. 90 percent of the known rows of a measure.
 
-    Runs at once, as `approxQuantile` does, and gives nine numbers per measure (none if all are
-    null). `exact` selects by rank: rough split points, then row counts per piece, then only the
-    pieces that hold a decile are ordered. It reads the table three times, so stage a costly one.
-    Otherwise a sketch with relative error 0.001 is used.
+    Runs at once, as `approxQuantile` does, and gives nine values per measure in the measure's own
+    type (none if all are null). `exact` selects by rank from the sorted distinct values; otherwise
+    a sketch with relative error 0.001 is used, which compares doubles.
     """
     require(df, measures)
-    if not exact:
-        shares = F.array(*[F.lit(i / 10) for i in DECILES])
-        row = df.agg(
-            *[
-                F.percentile_approx(col(name).cast("double"), shares, F.lit(1000)).alias(name)
-                for name in measures
-            ]
-        ).first()
-        return {name: list(row[name] or []) for name in measures}
-
-    cells = _pieced(df, measures, PIECES)
-    wanted, ranks = [], {}
-    for number, pieces in _offsets(cells).items():
-        ranks[number] = _decile_ranks(pieces[-1][1] + pieces[-1][2])
-        for piece, before, inside in pieces:
-            if any(before < rank <= before + inside for rank in ranks[number]):
-                wanted.append((number, piece, before, ranks[number]))
-    # At most nine pieces per measure, so this side of the join is bounded; the other pieces are
-    # dropped before anything is shuffled by value.
-    schema = "measure int, piece int, before bigint, ranks array<bigint>"
-    chosen = F.broadcast(rows_table(df.sparkSession, wanted, schema))
-    inside = Window.partitionBy("measure", "piece").orderBy("value")
-    kept = cells.join(chosen, ["measure", "piece"])
-    reached = F.col("before") + F.sum("rows").over(inside)
-    hits = (
-        kept.groupBy("measure", "piece", "value")
-        .agg(F.count("*").alias("rows"), F.first("before").alias("before"), F.first("ranks").alias("ranks"))
-        .withColumn("reached", reached)
-        .where(
-            F.exists(
-                "ranks",
-                lambda rank: (rank <= F.col("reached")) & (rank > F.col("reached") - F.col("rows")),
-            )
-        )
-        .select("measure", "value", "reached")
-        .collect()  # at most nine rows per measure
-    )
-    steps: dict[int, list[tuple[int, float]]] = {number: [] for number in ranks}
-    for row in hits:
-        steps[row["measure"]].append((row["reached"], row["value"]))
-    return {
-        name: [min(step for step in steps[i] if step[0] >= rank)[1] for rank in ranks.get(i, [])]
-        for i, name in enumerate(measures)
-    }
+    if exact:
+        return {name: _exact_deciles(df, name) for name in measures}
+    shares = F.array(*[F.lit(i / 10) for i in DECILES])
+    row = df.agg(
+        *[
+            F.percentile_approx(col(name).cast("double"), shares, F.lit(1000)).alias(name)
+            for name in measures
+        ]
+    ).first()
+    return {name: list(row[name] or []) for name in measures}
 
 
 def deciles(df: DataFrame, measures: Sequence[str], exact: bool = True) -> DataFrame:
-    """`decile_values` as a table: (measure, deciles)."""
+    """`decile_values` as a table: (measure, deciles). The deciles have the measures' type if they
+    share one, else double."""
     values = decile_values(df, measures, exact)
-    return rows_table(df.sparkSession, values.items(), "measure string, deciles array<double>")
+    types = {df.schema[name].dataType.simpleString() for name in measures}
+    kind = types.pop() if exact and len(types) == 1 else "double"
+    number = (lambda v: v) if kind != "double" else float
+    rows = [(name, [number(v) for v in found]) for name, found in values.items()]
+    return rows_table(df.sparkSession, rows, f"measure string, deciles array<{kind}>")
 
 
 def global_rank(df: DataFrame, measure: str) -> DataFrame:
-    """Add `rank`: 1 + number of rows with a larger measure, ties alike. Null measures are dropped.
+    """Add `rank`: 1 + number of rows with a larger measure, ties alike, nulls last and alike.
 
-    Ranks are made once per distinct value, inside ordered pieces, and joined back; values shared
-    by many rows go through the broadcast side of `join_by_frequency`.
+    Ranks are made once per distinct value, inside ordered parts, and joined back; values shared by
+    many rows go through the broadcast side of `join_by_frequency`. Values are compared in their own
+    type.
     """
-    cells = _pieced(df, [measure], PIECES)
-    pieces = _offsets(cells).get(0, [])
-    total = pieces[-1][1] + pieces[-1][2] if pieces else 0
-    before = rows_table(df.sparkSession, [p[:2] for p in pieces], "piece int, before bigint")
-    inside = Window.partitionBy("piece").orderBy("value")
-    # One measure has at most PIECES offsets.
-    ranked = (
-        _frequencies(cells)
-        .join(F.broadcast(before), "piece")
-        .select(
-            F.col("value").alias("_value"),
-            F.col("rows").alias("_rows"),
-            (total + 1 - F.col("before") - F.sum("rows").over(inside)).alias("rank"),
-        )
+    table, before, total = sorted_frequencies(df, measure)
+    ranked = _reached(table, before).select(
+        F.col("value").alias("_value"),
+        F.col("rows").alias("_rows"),
+        (total + 1 - F.col("reached")).alias("rank"),
     )
-    valued = df.withColumn("_value", col(measure).cast("double"))
+    valued = df.withColumn("_value", col(measure))
     joined = join_by_frequency(valued, ranked, "_value", "_rows", F.lit(total))
-    return joined.drop("_value", "_rows")
+    unknown = df.where(col(measure).isNull()).withColumn("rank", F.lit(total + 1).cast("bigint"))
+    return joined.drop("_value", "_rows").unionByName(unknown)

@@ -132,17 +132,27 @@ def community_lexicon_matches(
 ) -> DataFrame:
     """Keyword matches per community against its own list: (community, matching_words_count).
 
-    A keyword counts once per post. `lexicon` has the community and an array of keywords; only
-    communities in both tables are reported.
+    A keyword counts once per post. `lexicon` has the community and an array of keywords, one row per
+    community, and is small by nature: it is inlined, so posts are matched where they stand and only
+    sums are shuffled, however few the communities. Only communities in both tables are reported.
     """
     require(df, [community, text])
     require(lexicon, [community, keywords])
-    joined = df.select(col(community), tokenise(col(text), "whitespace").alias("_tokens")).join(
-        lexicon.select(col(community), col(keywords).alias("_keywords")), community
+    lists = lexicon.select(col(community), col(keywords)).where(col(community).isNotNull()).collect()
+    if not lists:
+        return df.limit(0).select(col(community), F.lit(0).cast("bigint").alias("matching_words_count"))
+    if len({row[0] for row in lists}) < len(lists):
+        raise ValueError("a community has more than one keyword list")
+    known = F.create_map(
+        *[x for name, own in lists for x in (F.lit(name), F.array(*map(F.lit, own or [])).cast("array<string>"))]
     )
-    return joined.groupBy(col(community)).agg(
-        F.sum(F.size(F.array_intersect("_tokens", "_keywords"))).alias("matching_words_count")
+    matched = df.where(col(community).isin(*[row[0] for row in lists])).select(
+        col(community),
+        F.size(
+            F.array_intersect(tokenise(col(text), "whitespace"), known[col(community)])
+        ).alias("_matches"),
     )
+    return matched.groupBy(col(community)).agg(F.sum("_matches").alias("matching_words_count"))
 
 
 def term_frequencies(df: DataFrame, id: str, tokens: Column) -> DataFrame:
@@ -154,9 +164,7 @@ def term_frequencies(df: DataFrame, id: str, tokens: Column) -> DataFrame:
     )
 
 
-def tfidf(
-    df: DataFrame, id: str, text: str, stop_words: Sequence[str] = (), min_df: int = 1
-) -> DataFrame:
+def tfidf(df: DataFrame, id: str, text: str, stop_words: Sequence[str] = ()) -> DataFrame:
     """TF-IDF of every word of every document: (id, word, tf, df, tfidf).
 
     idf = ln((documents + 1) / (df + 1)). The (document, word) table is staged in the shared folder
@@ -167,7 +175,7 @@ def tfidf(
     tokens = topic_tokens(col(text), stop_words)
     documents = df.agg(F.count("*").alias("n")).scalar()
     terms = stage(term_frequencies(df, id, tokens), "terms")
-    words = terms.groupBy("word").agg(F.count("*").alias("df")).where(F.col("df") >= min_df)
+    words = terms.groupBy("word").agg(F.count("*").alias("df"))
     joined = join_by_frequency(terms, words, "word", "df")
     idf = F.ln((documents + 1) / (F.col("df") + 1))
     return joined.select(col(id), "word", "tf", "df", (F.col("tf") * idf).alias("tfidf"))

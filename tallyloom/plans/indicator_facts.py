@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from tallyloom.operators.conform import conform
+from tallyloom.operators.conform import conform, unmatched
 from tallyloom.operators.star import IndicatorSpec, build_indicator_fact
 from tallyloom.sources import schemas
 from tallyloom.sources.catalog import Catalog
@@ -80,3 +80,4 @@ def run(spark: SparkSession, catalog: Catalog) -> None:
     )
     rates = read_strings(spark, catalog.source("suicide"))
     catalog.save(suicide_fact(rates, dictionary, countries), SUICIDE.name)
+    catalog.report(unmatched(rates, "country", dictionary, "country"), "unmatched/suicide")

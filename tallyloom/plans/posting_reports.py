@@ -7,15 +7,23 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.dates import in_dates, in_season, parse_date
-from tallyloom.functions.lexicons import CRISIS_INDICATORS, PANDEMIC_WORDS, STIGMA_WORDS
+from tallyloom.functions.dates import in_dates, in_season, month_key, parse_date
+from tallyloom.functions.lexicons import (
+    CLOUD_STOP_WORDS,
+    COMMUNITY_KEYWORDS,
+    CRISIS_INDICATORS,
+    EXTRA_STOP_WORDS,
+    KEYWORD_COMMUNITIES,
+    PANDEMIC_WORDS,
+    STIGMA_WORDS,
+)
 from tallyloom.operators import activity, words
 from tallyloom.operators.profile import profile
 from tallyloom.operators.series import align_series, period_totals, series_correlation
 from tallyloom.operators.shaping import exclude
 from tallyloom.sources import schemas
 from tallyloom.sources.catalog import Catalog
-from tallyloom.sources.tables import read_strings
+from tallyloom.sources.tables import read_strings, rows_table
 
 COMMUNITY, AUTHOR, DATE, POST = "subreddit", "author", "date", "post"
 
@@ -28,20 +36,11 @@ UNEVEN = ["EDAnonymous"]
 
 
 def read_posts(spark: SparkSession, path: str) -> DataFrame:
-    """The corpus with typed dates. Further columns of the files are ignored."""
-    raw = read_strings_corpus(spark, path).select(*schemas.POSTS.fieldNames())
-    return raw.withColumn(DATE, parse_date(F.col(DATE)))
-
-
-def read_strings_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """Quoted multiline CSV whose headers name the columns, in any order."""
-    return (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    """The corpus with typed dates. Further columns of the files are ignored; files whose headers
+    differ from each other are an error."""
+    raw = read_strings(spark, path, multiline=True)
+    posts = raw.select(*[F.col(f.name).cast(f.dataType) for f in schemas.POSTS])
+    return posts.withColumn(DATE, parse_date(F.col(DATE)))
 
 
 def read_cases(spark: SparkSession, path: str) -> DataFrame:
@@ -82,6 +81,14 @@ def run(spark: SparkSession, catalog: Catalog, posts_path: str, cases_path: str
         "days": activity.activity_counts(everything, DATE, "day"),
         "weeks": activity.activity_counts(everything, DATE, "week"),
         "community_days": activity.activity_counts(everything, DATE, "day", [COMMUNITY]),
+        "community_month_matrix": month_matrix(posts),
+        "daily_trend": daily_trend(posts),
+        "health_cloud": words.word_counts(
+            _in(posts, "healthanxiety"), POST, EXTRA_STOP_WORDS + CLOUD_STOP_WORDS
+        ),
+        "community_keywords": words.community_lexicon_matches(
+            posts.where(F.col(COMMUNITY).isin(*KEYWORD_COMMUNITIES)), COMMUNITY, POST, keywords(spark)
+        ),
         "post_length": activity.mean_length(posts, COMMUNITY, POST),
         "crisis_words": words.lexicon_counts(
             _in(posts, "suicidewatch"), POST, CRISIS_INDICATORS
@@ -97,13 +104,52 @@ def run(spark: SparkSession, catalog: Catalog, posts_path: str, cases_path: str
         "worthless_share": words.term_share(_in(posts, "depression"), POST, "worthless"),
         "help_share": words.term_share(_in(posts, "suicidewatch"), POST, "help"),
     }
+    sorted_by = orders()
     for name, report in reports.items():
-        catalog.report(report, f"posts/{name}")
+        catalog.report(report, f"posts/{name}", sorted_by.get(name, ()))
     if cases_path is not None:
         for name, report in case_reports(season, read_cases(spark, cases_path)).items():
             catalog.report(report, f"posts/{name}")
 
 
+def orders() -> dict[str, list]:
+    """Order of the rows of a report, for those that have one."""
+    return {
+        "posts_by_community": [F.desc("posts"), COMMUNITY],
+        "posts_by_month": ["month"],
+        "season_by_month": ["year", "month"],
+        "seasonal_pattern": ["month"],
+        "engagement_authors": [F.desc("posts"), AUTHOR],
+        "engagement_months": ["month"],
+        "engagement_community_months": [COMMUNITY, "month"],
+        "engagement_communities": [F.desc("posts"), COMMUNITY],
+        "pandemic_hits": [DATE],
+        "health_cloud": [F.desc("counts"), "word"],
+        "anxiety_words": [F.desc("counts"), "word"],
+        "community_month_matrix": [COMMUNITY],
+        "daily_trend": [DATE],
+    }
+
+
+def keywords(spark: SparkSession) -> DataFrame:
+    return rows_table(spark, COMMUNITY_KEYWORDS.items(), f"{COMMUNITY} string, keywords array<string>")
+
+
+def month_matrix(posts: DataFrame) -> DataFrame:
+    """Posts of each community, with one column per yyyy-MM."""
+    months = posts.select(month_key(F.col(DATE)).alias("m")).where("m is not null").distinct()
+    names = sorted(r["m"] for r in months.collect())  # as many as the corpus has months
+    dated = posts.withColumn("month", month_key(F.col(DATE)))
+    return activity.pivot_counts(dated, F.col(COMMUNITY), "month", names, COMMUNITY)
+
+
+def daily_trend(posts: DataFrame) -> DataFrame:
+    """Posts of each day, with one column per community."""
+    found = posts.select(COMMUNITY).where(F.col(COMMUNITY).isNotNull()).distinct()
+    names = sorted(r[COMMUNITY] for r in found.collect())  # communities become columns
+    return activity.pivot_counts(posts, F.col(DATE), COMMUNITY, names, DATE)
+
+
 def _in(posts: DataFrame, community: str) -> DataFrame:
     return posts.where(F.col(COMMUNITY) == community)
 
@@ -111,16 +157,16 @@ def _in(posts: DataFrame, community: str) -> DataFrame:
 def case_reports(season: DataFrame, cases: DataFrame) -> dict[str, DataFrame]:
     """Posts beside case numbers, by month and by day."""
     by = [COMMUNITY]
-    monthly = period_totals(season, DATE, None, "month", "num_posts")
+    after, cases_after = season.where(in_dates(F.col(DATE), *AFTER)), cases.where(in_dates(F.col("date"), *AFTER))
+    # AFTER is whole months, so filtering the dates keeps the months' sums and reaches the scans.
+    monthly = period_totals(after, DATE, None, "month", "num_posts")
+    cases_monthly = period_totals(cases_after, "date", "cases", "month", "total_cases")
     monthly_by = period_totals(season, DATE, None, "month", "num_posts", by)
     cases_all = period_totals(cases, "date", "cases", "month", "total_cases")
     in_season_cases = cases.where(in_season(F.col("date"), *SEASON))
     cases_season = period_totals(in_season_cases, "date", "cases", "month", "total_cases")
-    daily = period_totals(season.where(in_dates(F.col(DATE), *AFTER)), DATE, None, "day", "num_posts", by)
-    cases_daily = period_totals(
-        cases.where(in_dates(F.col("date"), *AFTER)), "date", "cases", "day", "total_cases"
-    )
-    aligned = align_series(monthly, cases_season, ["period"], "outer", 0)
+    daily = period_totals(after, DATE, None, "day", "num_posts", by)
+    cases_daily = period_totals(cases_after, "date", "cases", "day", "total_cases")
     return {
         "case_correlation": series_correlation(
             monthly_by, cases_all, ["period"], "num_posts", "total_cases"
@@ -128,6 +174,6 @@ def case_reports(season: DataFrame, cases: DataFrame) -> dict[str, DataFrame]:
         "case_correlation_by_community": series_correlation(
             monthly_by, cases_season, ["period"], "num_posts", "total_cases", by
         ),
-        "cases_by_month": aligned.where(in_dates(F.col("period"), *AFTER)),
+        "cases_by_month": align_series(monthly, cases_monthly, ["period"], "outer", 0),
         "cases_by_day": align_series(daily, cases_daily, ["period"], "inner"),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,8 @@ from tallyloom.functions.cleaning import (
     parse_int,
     strip_newlines,
 )
-from tallyloom.operators.conform import conform, convert_currency
-from tallyloom.operators.shaping import col
+from tallyloom.operators.conform import conform, convert_currency, overlap, unmatched
+from tallyloom.operators.shaping import col, unmapped_labels
 from tallyloom.operators.star import DimSpec, build_dim
 from tallyloom.sources import schemas
 from tallyloom.sources.catalog import Catalog
@@ -218,8 +219,27 @@ def conformed(df: DataFrame, name: str, dictionary: DataFrame) -> DataFrame:
     return conform(df, name, dictionary, "country", ["country_name", KEY, "un_region"])
 
 
-def run(spark: SparkSession, catalog: Catalog) -> None:
-    """Build the star. The policy and admission dimensions are built when the survey has them."""
+#: Labels that are looked up in a code table, and the markers that stand for none.
+LABELLED = {_payment: (), _authority: (), _share_band: DASHES}
+
+
+def label_gaps(survey: DataFrame) -> DataFrame:
+    """Labels of the survey that no code table has: (column, label, rows)."""
+    coded, pairs = {}, {}
+    for spec in SURVEY_DIMS:
+        for name, cleaner in spec.cleaners.items():
+            if cleaner in LABELLED and name in survey.columns:
+                coded[f"{name} label"] = null_markers(col(name), LABELLED[cleaner] or ["-"])
+                coded[f"{name} code"] = cleaner(col(name))
+                pairs[f"{name} label"] = f"{name} code"
+    return unmapped_labels(survey.withColumns(coded), pairs)
+
+
+def run(spark: SparkSession, catalog: Catalog, optional: Collection[str] = ()) -> None:
+    """Build the star, and report names and labels that the dictionaries lack.
+
+    A dimension whose columns the survey lacks is an error unless `optional` names it.
+    """
     dictionary = read_table(
         spark, catalog.source("country_dictionary"), schemas.COUNTRY_DICTIONARY, header=False
     )
@@ -229,8 +249,14 @@ def run(spark: SparkSession, catalog: Catalog) -> None:
     ).persist()  # read by every dimension
     try:
         for spec in SURVEY_DIMS:
-            if set(spec.columns) <= set(survey.columns):
+            missing = sorted(set(spec.columns) - set(survey.columns))
+            if not missing:
                 catalog.save(build_dim(survey, spec), spec.name)
+            elif spec.name not in optional:
+                raise ValueError(f"the survey lacks columns of {spec.name}: {missing}")
+        catalog.report(unmatched(survey, "country", dictionary, "country"), "unmatched/survey")
+        catalog.report(overlap(survey, "country", dictionary, "country", KEY), "unmatched/survey_overlap")
+        catalog.report(label_gaps(survey), "unmatched/labels")
         catalog.save(basic_info(survey, rates), BASIC.name)
     finally:
         survey.unpersist()
@@ -238,3 +264,4 @@ def run(spark: SparkSession, catalog: Catalog) -> None:
         read_strings(spark, catalog.source("programmes"), multiline=True), "Country", dictionary
     )
     catalog.save(build_dim(programmes, PROGRAMMES), PROGRAMMES.name)
+    catalog.report(unmatched(programmes, "Country", dictionary, "country"), "unmatched/programmes")

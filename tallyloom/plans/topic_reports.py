@@ -19,9 +19,14 @@ def with_id(posts: DataFrame) -> DataFrame:
 
 
 def run(
-    spark: SparkSession, catalog: Catalog, community: str = "suicidewatch", anchor: str = "help"
+    spark: SparkSession,
+    catalog: Catalog,
+    community: str = "suicidewatch",
+    anchor: str = "help",
+    topic_community: str = "healthanxiety",
 ) -> None:
-    """Needs the `posts` table of the posting reports."""
+    """Needs the `posts` table of the posting reports. Topics are those of `topic_community`, with
+    the default stop list; all else is about `community`."""
     posts = with_id(
         catalog.table(spark, "posts").where((F.col(COMMUNITY) == community) & F.col(POST).isNotNull())
     )
@@ -29,11 +34,14 @@ def run(
     near = words.cooccurrence(posts, POST, anchor, stop)
     catalog.save(near, "words_near_anchor")
     near = catalog.table(spark, "words_near_anchor")
-    catalog.report(near.orderBy(F.desc("counts"), "word"), "topics/words_near_anchor")
+    catalog.report(near, "topics/words_near_anchor", [F.desc("counts"), "word"])
     catalog.report(rank_top_bottom(near, "word", "counts"), "topics/top_bottom_words")
-    catalog.report(
-        topics.lda_topics(posts, "post_id", POST, stop_words=stop), "topics/lda"
+    talk = with_id(
+        catalog.table(spark, "posts").where(
+            (F.col(COMMUNITY) == topic_community) & F.col(POST).isNotNull()
+        )
     )
+    catalog.report(topics.lda_topics(talk, "post_id", POST), "topics/lda", ["topic", "rank"])
     model, clustered = topics.cluster_posts(posts, "post_id", POST, stop_words=stop)
     save_model(model, catalog.table_path("cluster_model"))
     catalog.save(clustered, "clustered_posts")

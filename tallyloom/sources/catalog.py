@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tallyloom.sources.tables import read_parquet, write_report, write_table
 
@@ -43,5 +44,5 @@ class Catalog:
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         return read_parquet(spark, self.table_path(name))
 
-    def report(self, df: DataFrame, name: str) -> None:
-        write_report(df, f"{self.outputs.rstrip('/')}/reports/{name}")
+    def report(self, df: DataFrame, name: str, order_by: Sequence[Column | str] = ()) -> None:
+        write_report(df, f"{self.outputs.rstrip('/')}/reports/{name}", order_by)

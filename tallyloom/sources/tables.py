@@ -10,14 +10,20 @@ from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
 from pyspark.ml.util import JavaMLReadable, MLWritable
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 
 def read_strings(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Header CSV with every column as text. Only the header line is looked at to plan."""
-    return spark.read.option("header", True).option("multiLine", multiline).csv(path)
+    """Header CSV (a file, a folder or a pattern) with every column as text.
+
+    The first file's header names the columns. A file whose header differs raises an error when it
+    is read: without that check its cells would land under other names.
+    """
+    reader = spark.read.option("header", True).option("multiLine", multiline)
+    reader = reader.option("quote", '"').option("escape", '"')
+    return reader.schema(reader.csv(path).schema).option("enforceSchema", False).csv(path)
 
 
 def read_table(
@@ -64,16 +70,6 @@ def rows_table(spark: SparkSession, rows: Iterable[tuple], schema: StructType |
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), fields)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal out the rows of a table that has fewer files than the cluster has task slots.
-
-    A file may hold a single row group, which one task reads; heavy work per row would then run in
-    as many tasks as there are files. A large table has files enough and is left as it is.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots, key) if len(df.inputFiles()) < slots else df
-
-
 def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> None:
@@ -86,13 +82,14 @@ def write_table(
     writer.save(path)
 
 
-def write_report(df: DataFrame, path: str) -> None:
+def write_report(df: DataFrame, path: str, order_by: Sequence[Column | str] = ()) -> None:
     """Overwrite a CSV report folder.
 
-    The rebalance hint lets adaptive execution pick the file count from the real output size: one
-    file for a report, many for a published table, and never one task for all of a large one.
+    With `order_by` the rows are sorted across the part files, read in the order of their names.
+    Without it the rebalance hint lets adaptive execution pick the file count from the real output
+    size. Either way a report is one file, and a large table many.
     """
-    write_table(df.hint("rebalance"), path, fmt="csv")
+    write_table(df.orderBy(*order_by) if order_by else df.hint("rebalance"), path, fmt="csv")
 
 
 def save_model(model: MLWritable, path: str) -> None:

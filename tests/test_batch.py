@@ -177,6 +177,60 @@ def test_posting_reports(report):
     assert report("posts/profile").count() == 4
 
 
+def lines_of(catalog, name):
+    """Rows of a report in the order of its files."""
+    from pathlib import Path
+
+    found = []
+    for path in sorted(Path(f"{catalog.outputs}/reports/{name}").glob("part-*")):
+        with open(path, newline="") as file:
+            found += list(csv.DictReader(file))
+    return found
+
+
+def test_reports_are_sorted(catalog):
+    shares = [int(r["posts"]) for r in lines_of(catalog, "posts/posts_by_community")]
+    assert shares == sorted(shares, reverse=True)
+    months = [r["month"] for r in lines_of(catalog, "posts/posts_by_month")]
+    assert months == sorted(months) and len(months) > 12
+    counts = [int(r["counts"]) for r in lines_of(catalog, "topics/words_near_anchor")]
+    assert counts == sorted(counts, reverse=True)
+
+
+def test_matrix_trend_cloud_and_keywords(spark, catalog, report):
+    posts = catalog.table(spark, "posts").where("subreddit <> 'EDAnonymous'")
+    matrix = report("posts/community_month_matrix")
+    assert "2019-03" in matrix.columns and matrix.count() == 4
+    total = sum(int(r[c]) for r in matrix.collect() for c in matrix.columns if c != "subreddit")
+    assert total == posts.where("date is not null").count()
+    assert set(report("posts/daily_trend").columns) == {"date", "anxiety", "depression", "healthanxiety", "suicidewatch"}
+    cloud = {r["word"] for r in report("posts/health_cloud").collect()}
+    assert "virus" in cloud and not cloud & {"and", "because", "at"}
+    keywords = {r["subreddit"]: int(r["matching_words_count"]) for r in report("posts/community_keywords").collect()}
+    hits = posts.where("subreddit = 'depression' and array_contains(split(lower(post), '[ \\n]'), 'worthless')").count()
+    assert keywords == {"depression": hits, "anxiety": 0}
+
+
+def test_unmatched_names_and_labels(report):
+    assert report("unmatched/survey").count() == report("unmatched/programmes").count() == 0
+    assert [r["country"] for r in report("unmatched/suicide").collect()] == ["Elsewhere"]
+    assert int(report("unmatched/survey_overlap").first()["matched_names"]) == 24
+    assert report("unmatched/labels").columns == ["column", "label", "rows"]
+
+
+def test_missing_survey_columns_are_an_error(spark, catalog, tmp_path):
+    import shutil
+
+    inputs = tmp_path / "in"
+    shutil.copytree(catalog.inputs, inputs)
+    path = inputs / catalog.survey
+    path.write_text(path.read_text().replace('"smr_2016"', '"smr_16"'))
+    other = Catalog(str(inputs), str(tmp_path / "out"))
+    with pytest.raises(ValueError, match="mortality.*smr_2016"):
+        survey_star.run(spark, other)
+    survey_star.run(spark, other, optional=["mortality"])
+
+
 def test_topic_reports(spark, catalog, report):
     assert "help" not in {r["word"] for r in report("topics/words_near_anchor").collect()}
     assert report("topics/lda").select("topic").distinct().count() == 15

@@ -97,3 +97,35 @@ def test_rank_top_bottom(frame, rows, k):
     expected = [(*x, "top") for x in numbered[:k]] + [(*x, "bottom") for x in numbered[-k:]]
     got = rows(ordering.rank_top_bottom(df, "word", "counts", k, "row_number"))
     assert got == sorted(expected, key=repr)
+
+
+def test_values_keep_their_type(frame, rows):
+    big = 9007199254740992
+    df = frame([(big + i,) for i in range(10)], "v bigint")
+    assert ordering.decile_values(df, ["v"]) == {"v": [big + i for i in range(9)]}
+    assert ordering.deciles(df, ["v"]).schema["deciles"].dataType.simpleString() == "array<bigint>"
+    assert rows(ordering.global_rank(df, "v")) == [(big + i, 10 - i) for i in range(10)]
+
+
+def test_nulls_are_ranked_last(frame, rows):
+    df = frame([(1, 5.0), (2, None), (3, 7.0), (4, None), (5, 5.0)], "id int, v double")
+    assert rows(ordering.global_rank(df, "v").select("id", "rank")) == [(1, 2), (2, 4), (3, 1), (4, 4), (5, 2)]
+
+
+@pytest.mark.parametrize("n", [200, 2000])
+def test_sorted_parts_stay_bounded(frame, n):
+    df = frame([(float(i % (n - 1)),) for i in range(n)], "v double")
+    table, before, total = ordering.sorted_frequencies(df, "v", part_rows=50)
+    sizes = [r["count"] for r in table.groupBy("part").count().collect()]
+    assert total == n and max(sizes) <= 100 and len(sizes) >= n // 100
+
+
+def test_values_in_small_parts(frame, rows, monkeypatch):
+    monkeypatch.setattr(ordering, "PART_ROWS", 7)
+    monkeypatch.setattr(ordering.sorted_frequencies, "__defaults__", (7,))
+    values = skewed(300, 5)
+    df = frame(list(enumerate(values)), "id int, v double")
+    assert ordering.decile_values(df, ["v"]) == {"v": brute_deciles(values)}
+    known = [v for v in values if v is not None]
+    expected = [(i, 1 + (len(known) if v is None else sum(o > v for o in known))) for i, v in enumerate(values)]
+    assert rows(ordering.global_rank(df, "v").select("id", "rank")) == sorted(expected, key=repr)

@@ -200,10 +200,31 @@ def corpus(frame):
     )
 
 
-def test_pipeline_stages(corpus):
-    model = topics.tfidf_stages("post").fit(corpus)
-    assert set(topics.vocabulary(model)) >= {"cat", "bus", "red"}
-    assert "features" in model.transform(corpus).columns
+def test_features_hold_every_word(posts, corpus, rows):
+    _, df = posts
+    for frame_ in (df, corpus.union(corpus.selectExpr("id + 1000", "concat(post, ' once', id)"))):
+        features = topics.fit_features(frame_, "id", "post", [])
+        known = {w for r in frame_.collect() for w in (r["post"] or "").replace("0", "").split()}
+        known = {"".join(c for c in w if c.isalpha()) for w in known}
+        found = {r["word"]: r["index"] for r in features.words.collect()}
+        assert set(found) == known and sorted(found.values()) == list(range(features.size))
+        weighed = {(r["id"], r["word"]): r["tfidf"] for r in words.tfidf(frame_.where("post is not null"), "id", "post").collect()}
+        unpacked = {(r["id"], r["word"]): r["weight"] for r in topics.vector_terms(features, "id").collect()}
+        assert unpacked == pytest.approx(weighed)
+
+
+def test_features_are_ml_vectors(frame):
+    df = frame([(1, "bb aa bb"), (2, "cc"), (3, "the"), (4, None)], "id int, post string")
+    features = topics.fit_features(df, "id", "post")
+    vectors = {r["id"]: r["counts"] for r in features.vectors.collect()}
+    assert vectors[1].toArray().tolist() == [1, 2, 0] and vectors[2].size == 3
+    assert vectors[3].numNonzeros() == 0 and set(vectors) == {1, 2, 3}
+
+
+def test_models_too_large_are_refused(corpus, monkeypatch):
+    monkeypatch.setattr(topics, "MODEL_CELLS", 20)
+    with pytest.raises(ValueError, match="numbers"):
+        topics.lda_topics(corpus, "id", "post", k=3)
 
 
 def test_lda(corpus):
@@ -230,13 +251,13 @@ def test_clusters(corpus, tmp_path, spark):
 
 
 def test_nmf_separates_themes(corpus):
-    out = topics.nmf_topics(corpus, "id", "post", k=3, iterations=15, terms=4, min_df=1).collect()
+    out = topics.nmf_topics(corpus, "id", "post", vocab_size=12, min_df=1, k=3, iterations=15, terms=4).collect()
     found = {frozenset(r["term"] for r in out if r["topic"] == t) for t in range(3)}
     assert found == {
         frozenset(["cat", "dog", "fish", "bird"]),
         frozenset(["car", "bus", "train", "ship"]),
         frozenset(["red", "blue", "green", "pink"]),
     }
-    again = topics.nmf_topics(corpus, "id", "post", k=3, iterations=15, terms=4, min_df=1).collect()
+    again = topics.nmf_topics(corpus, "id", "post", vocab_size=12, min_df=1, k=3, iterations=15, terms=4).collect()
     weights = lambda result: {(r["topic"], r["term"]): r["weight"] for r in result}
     assert weights(again) == pytest.approx(weights(out), abs=1e-6)

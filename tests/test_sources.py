@@ -56,15 +56,6 @@ def test_rows_table_is_local(spark):
     assert "LocalRelation" in plan
 
 
-def test_spread_only_few_files(spark, tmp_path):
-    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
-    spark.range(100).repartition(16).write.parquet(str(tmp_path / "many"))
-    plan = lambda p: tables.spread(spark.read.parquet(str(tmp_path / p)), "id")
-    explain = lambda d: d._jdf.queryExecution().toString()
-    assert "Exchange" in explain(plan("one")) and plan("one").count() == 100
-    assert "Exchange" not in explain(plan("many"))
-
-
 def test_staged_tables_go_to_the_named_folder(spark):
     folder = spark.conf.get(session.CHECKPOINT_KEY)
     assert session.shared_folder(spark) == folder.rstrip("/")
@@ -72,19 +63,45 @@ def test_staged_tables_go_to_the_named_folder(spark):
     assert staged.count() == 5 and staged.inputFiles()[0].startswith(f"file://{folder}/staged/t-")
 
 
-def test_unset_folder_on_a_cluster_is_an_error():
-    class Context:
-        master = "yarn"
+def test_unset_folder_is_in_the_warehouse():
+    class Session:
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(key, default=None):
+                return {session.WAREHOUSE_KEY: "hdfs://x/warehouse"}.get(key, default)
 
-    class Conf:
-        @staticmethod
-        def get(key, default):
-            return default
+    assert session.shared_folder(Session) == "hdfs://x/warehouse/_staged"
 
-    class Session:
-        sparkContext, conf = Context, Conf
 
-    with pytest.raises(ValueError, match="checkpoint"):
-        session.shared_folder(Session)
-    Context.master = "local[2]"
-    assert session.shared_folder(Session)
+def test_staged_tables_are_deleted_on_request(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_staged", [])
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    staged = session.stage(spark.range(5), "t")
+    assert staged.count() == 5 and len(list((tmp_path / "staged").iterdir())) == 1
+    session.clear_staged(spark)
+    assert not list((tmp_path / "staged").iterdir())
+
+
+def test_headers_that_differ_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y\n1,"2\n3"\n')
+    (tmp_path / "b.csv").write_text("y,x\n5,4\n")
+    for multiline in (True, False):
+        with pytest.raises(Exception, match="header"):
+            tables.read_strings(spark, str(tmp_path / "*.csv"), multiline).collect()
+    (tmp_path / "b.csv").write_text("x,y\n4,5\n")
+    found = tables.read_strings(spark, str(tmp_path / "*.csv"), True)
+    assert sorted(map(tuple, found.collect())) == [("1", "2\n3"), ("4", "5")]
+
+
+def test_sorted_reports(spark, tmp_path):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        df = spark.range(500).select((F.col("id") * 7 % 500).alias("n"), F.lit("t").alias("s"))
+        tables.write_report(df, str(tmp_path / "r"), [F.desc("n")])
+    finally:
+        spark.conf.set(key, before)
+    files = sorted(p for p in (tmp_path / "r").iterdir() if p.name.startswith("part-"))
+    lines = [line for p in files for line in p.read_text().splitlines()[1:]]
+    assert len(files) > 1 and [int(line.split(",")[0]) for line in lines] == list(range(499, -1, -1))

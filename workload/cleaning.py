@@ -307,10 +307,11 @@ COUNTRY = """country AS (SELECT n_name AS country_name, n_nationkey AS country_c
 
 
 def _raw_indicator(spark, sf):
-    """Line items as indicator rows of their supplier's nation, all cells as text."""
+    """Line items as indicator rows of their supplier's nation, all cells as text. The codes of some
+    nations are unknown to the entity table."""
     lines = table(spark, sf, "lineitem").withColumn("s_suppkey", F.col("l_suppkey"))
     return enrich(lines, table(spark, sf, "supplier"), ["s_suppkey"], ["s_nationkey"]).select(
-        F.col("s_nationkey").alias("Code"),
+        F.expr("CASE WHEN s_nationkey < 22 THEN s_nationkey ELSE -s_nationkey END").alias("Code"),
         F.date_format("l_shipdate", "yyyy").alias("Year"),
         F.col("l_quantity").cast("string").alias("Quantity (%)"),
         F.expr("nullif(l_discount, 0.05)").cast("string").alias("Discount (%)"),
@@ -331,7 +332,7 @@ def indicator_panel(spark, sf):
         bounded=["quantity_%", "tax_%"],
         bound=40,
     )
-    countries = _country_table(spark, sf).where("country_code < 22")
+    countries = _country_table(spark, sf)
     return build_indicator_fact(_raw_indicator(spark, sf), countries, spec)
 
 
@@ -344,7 +345,7 @@ def indicator_by_sex(spark, sf):
     spec = IndicatorSpec(
         "sex", {"Discount (%)": "male_%", "Tax (%)": "female_%"}, required=["male_%", "female_%"]
     )
-    countries = _country_table(spark, sf).where("country_code < 22")
+    countries = _country_table(spark, sf)
     return build_indicator_fact(_raw_indicator(spark, sf), countries, spec)
 
 
@@ -359,7 +360,7 @@ def indicator_fixed_year(spark, sf):
     spec = IndicatorSpec(
         "rate", {"rate": "rate_%"}, code="code", year=None, years=None, fixed_year=2019, bounded=["rate_%"]
     )
-    countries = _country_table(spark, sf).where("country_code < 22")
+    countries = _country_table(spark, sf)
     return build_indicator_fact(coded, countries, spec)
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.ordering import (
     bottom_k,
+    decile_values,
+    decile_values,
     deciles,
     global_rank,
     leading_key,
@@ -212,10 +214,12 @@ def presence_means(spark, sf):
     return rounded(means, ["o_totalprice"])
 
 
-@query("""SELECT s_suppkey, coalesce(nullif(s_acctbal, -1), -1) AS balance, n_name, r_name FROM supplier
+@query("""SELECT s_suppkey, CASE WHEN s_acctbal >= 0 THEN s_acctbal ELSE -1 END AS balance, n_name, r_name FROM supplier
     JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def measures_with_sentinel(spark, sf):
-    df = _suppliers(spark, sf).withColumnRenamed("s_acctbal", "balance")
+    """Suppliers in debt report no balance."""
+    known = F.expr("CASE WHEN s_acctbal >= 0 THEN s_acctbal END")
+    df = _suppliers(spark, sf).withColumn("balance", known)
     filled = fill_sentinels(df, {"balance": -1.0})
     return filled.select("s_suppkey", "balance", "n_name", "r_name")
 
@@ -274,24 +278,43 @@ def _scores(names: list[str], source: str) -> str:
     return f"(SELECT {source}.*, {scores} FROM {source}, (SELECT {cuts} FROM {source}))"
 
 
+DECILE_MEASURES = ("l_quantity", "l_extendedprice", "l_discount")
+
+
 @query(
     " UNION ALL ".join(
-        f"""SELECT '{n}' AS measure, quantile_disc({n}, {TENTHS}) [1] AS d1, quantile_disc({n}, {TENTHS}) [5] AS d5,
-        quantile_disc({n}, {TENTHS}) [9] AS d9 FROM lineitem"""
-        for n in ("l_quantity", "l_extendedprice", "l_discount")
+        f"""SELECT '{n}' AS measure, i + 1 AS decile, quantile_disc({n}, {TENTHS})[i + 1] AS value
+        FROM lineitem, (SELECT unnest(range(9)) AS i) GROUP BY i"""
+        for n in DECILE_MEASURES
     )
 )
 def exact_deciles(spark, sf):
-    df = deciles(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
-    picks = [F.element_at("deciles", i).alias(f"d{i}") for i in (1, 5, 9)]
-    return df.select("measure", *picks)
+    df = deciles(table(spark, sf, "lineitem"), DECILE_MEASURES)
+    return df.select("measure", F.posexplode("deciles").alias("decile", "value")).withColumn(
+        "decile", (F.col("decile") + 1).cast("bigint")
+    )
 
 
-@query()
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS measure, CAST(i AS BIGINT) AS decile, true AS within FROM (SELECT unnest(range(1, 10)) AS i)"
+        for n in DECILE_MEASURES
+    )
+)
 def approximate_deciles(spark, sf):
-    df = deciles(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"], exact=False)
-    picks = [F.element_at("deciles", i).alias(f"d{i}") for i in (1, 5, 9)]
-    return df.select("measure", *picks)
+    """Whether each approximate decile is within its stated rank error of 0.001."""
+    lines = table(spark, sf, "lineitem")
+    found = decile_values(lines, DECILE_MEASURES, exact=False)
+    checks = []
+    for name in DECILE_MEASURES:
+        for i, value in enumerate(found[name], 1):
+            below, at = F.count_if(F.col(name) < value), F.count_if(F.col(name) <= value)
+            wanted, slack = F.count(name) * (i / 10), F.count(name) * 0.001 + 1
+            within = (below - slack <= wanted) & (at + slack >= wanted)
+            checks.append(
+                F.struct(F.lit(name).alias("measure"), F.lit(i).cast("bigint").alias("decile"), within.alias("within"))
+            )
+    return lines.agg(F.array(*checks).alias("c")).select(F.explode("c").alias("c")).select("c.*")
 
 
 @query(f"""WITH {FACILITIES} SELECT s_suppkey, {', '.join(f'{n}_score' for n in FACILITY_NAMES)},

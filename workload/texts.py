@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as tx
-from tallyloom.functions.lexicons import EXTRA_STOP_WORDS
+from tallyloom.functions.lexicons import ENGLISH_STOP_WORDS, EXTRA_STOP_WORDS
 from tallyloom.operators import topics, words
 from tallyloom.operators.ordering import rank_top_bottom
-from tallyloom.sources.tables import rows_table, spread
+from tallyloom.sources.tables import rows_table
 from workload.registry import query, rounded, table
 
 
 def _docs(spark, sf):
-    return spread(table(spark, sf, "documents"), "doc_id")
+    return table(spark, sf, "documents")
 
 
 def _quoted(items) -> str:
@@ -30,6 +30,7 @@ def _whitespace(expr: str) -> str:
 
 WORDS = f"string_split({NORMAL}, ' ')"
 STOP = _quoted(EXTRA_STOP_WORDS)
+ALL_STOP = _quoted(ENGLISH_STOP_WORDS + EXTRA_STOP_WORDS)
 TOPIC = f"list_filter({_whitespace(LETTERS)}, lambda t: t NOT IN ({STOP}))"
 
 
@@ -56,6 +57,9 @@ def token_counts(spark, sf):
     )
 
 
+ALL_TOPIC = TOPIC.replace(STOP, ALL_STOP)
+
+
 LEXICON = ["that", "with", "this", "from", "of the", "is the and"]
 EXPLODED = f"SELECT lang, unnest({WORDS}) AS word FROM documents"
 
@@ -145,46 +149,71 @@ def community_lexicons(spark, sf):
     return words.community_lexicon_matches(_docs(spark, sf), "lang", "text", lexicon)
 
 
-@query(f"""WITH t AS (SELECT doc_id, unnest({TOPIC}) AS word FROM documents),
-    tf AS (SELECT doc_id, word, count(*) AS tf FROM t GROUP BY 1, 2), d AS (SELECT word, count(*) AS df FROM tf GROUP BY 1)
-    SELECT doc_id, word, tf, df, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 6) AS tfidf
-    FROM tf JOIN d USING (word) WHERE df >= 2""")
+def _weights(tokens: str) -> str:
+    return f"""WITH t AS (SELECT doc_id, unnest({tokens}) AS word FROM documents),
+    tf AS (SELECT doc_id, word, count(*) AS tf FROM t GROUP BY 1, 2), d AS (SELECT word, count(*) AS df FROM tf GROUP BY 1),
+    w AS (SELECT doc_id, word, tf, df, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 6) AS weight
+    FROM tf JOIN d USING (word))"""
+
+
+@query(f"{_weights(TOPIC)} SELECT doc_id, word, tf, df, weight AS tfidf FROM w")
 def tfidf_weights(spark, sf):
-    df = words.tfidf(_docs(spark, sf), "doc_id", "text", EXTRA_STOP_WORDS, min_df=2)
+    df = words.tfidf(_docs(spark, sf), "doc_id", "text", EXTRA_STOP_WORDS)
     return rounded(df, ["tfidf"])
 
 
-@query()
+@query(f"{_weights(ALL_TOPIC)} SELECT doc_id, word, tf, weight FROM w")
 def tfidf_features(spark, sf):
-    """Spark ML stages; one row per document with the size of its vector."""
-    _, features = topics.fit_features(
-        _docs(spark, sf), "doc_id", "text", tx.topic_stop_words(), vocab_size=1 << 14, min_df=2,
-        keep=["filtered_words", "features"],
+    """Unpacked from the vectors that the models are fitted to."""
+    features = topics.fit_features(_docs(spark, sf), "doc_id", "text", tx.topic_stop_words())
+    return rounded(topics.vector_terms(features, "doc_id"), ["weight"])
+
+
+DEFAULT_TOPIC = TOPIC.replace(STOP, _quoted(ENGLISH_STOP_WORDS))
+
+
+@query(f"SELECT word, count(*) AS counts FROM (SELECT unnest({DEFAULT_TOPIC}) AS word FROM documents) GROUP BY 1")
+def words_without_default_stop_words(spark, sf):
+    tokens = words.topic_tokens(F.col("text"), tx.english_stop_words())
+    counted = words.term_frequencies(_docs(spark, sf), "doc_id", tokens)
+    return counted.groupBy("word").agg(F.sum("tf").alias("counts"))
+
+
+# The models have no SQL of their own. Their queries report what must hold for every fit: each topic
+# weighs all words and its weights sum to 1, and clusters share out all words of the corpus.
+CORPUS = f"(SELECT word, count(DISTINCT doc_id) AS df, count(*) AS counts FROM (SELECT doc_id, unnest({ALL_TOPIC}) AS word FROM documents) GROUP BY 1)"
+
+
+def _sums(topic_terms):
+    summed = topic_terms.groupBy("topic").agg(
+        F.count("*").alias("terms"), F.max("rank").cast("bigint").alias("last_rank"), F.sum("weight").alias("weight")
     )
-    return features.select("doc_id", F.size("filtered_words").alias("tokens"))
+    return rounded(summed.withColumn("topic", F.col("topic").cast("bigint")), ["weight"])
 
 
-@query()
+@query(f"""SELECT topic, n AS terms, n AS last_rank, 1.0::DOUBLE AS weight
+    FROM (SELECT unnest(range(15)) AS topic), (SELECT count(*) AS n FROM {CORPUS})""")
 def lda_topics(spark, sf):
     df = topics.lda_topics(
-        _docs(spark, sf), "doc_id", "text", k=15, iterations=10, vocab_size=1 << 14, min_df=2,
-        stop_words=tx.topic_stop_words(),
+        _docs(spark, sf), "doc_id", "text", k=15, iterations=10, terms=None, stop_words=tx.topic_stop_words()
     )
-    return rounded(df, ["weight"])
+    return _sums(df)
 
 
-@query()
+@query(f"SELECT word, CAST(counts AS BIGINT) AS counts FROM {CORPUS}")
 def cluster_words(spark, sf):
     _, clustered = topics.cluster_posts(
-        _docs(spark, sf), "doc_id", "text", k=5, vocab_size=1 << 14, min_df=2,
-        stop_words=tx.topic_stop_words(),
+        _docs(spark, sf), "doc_id", "text", k=5, stop_words=tx.topic_stop_words()
     )
-    return topics.cluster_top_words(clustered)
+    counts = topics.cluster_word_counts(clustered)
+    return counts.groupBy("word").agg(F.sum("counts").alias("counts"))
 
 
-@query()
+@query(f"""SELECT topic, n AS terms, n AS last_rank, 1.0::DOUBLE AS weight FROM (SELECT unnest(range(10)) AS topic),
+    (SELECT least(1000, count(*)) AS n FROM {CORPUS} WHERE df >= 5)""")
 def nmf_topics(spark, sf):
     df = topics.nmf_topics(
-        _docs(spark, sf), "doc_id", "text", k=10, iterations=5, stop_words=tx.topic_stop_words()
+        _docs(spark, sf), "doc_id", "text", vocab_size=1000, min_df=5, k=10, iterations=100, terms=None,
+        stop_words=tx.topic_stop_words(),
     )
-    return rounded(df, ["weight"])
+    return _sums(df)
