@@ -13,7 +13,7 @@ from tallyloom.plans import (
     survey_star,
     topic_reports,
 )
-from tallyloom.session import build_session
+from tallyloom.session import build_session, clear_staged
 from tallyloom.sources.catalog import Catalog
 
 
@@ -45,7 +45,10 @@ def main(argv: list[str] | None = None) -> None:
         ]
     for name, step in steps:
         started = time.monotonic()
-        step()
+        try:
+            step()
+        finally:
+            clear_staged(spark)
         print(f"{name}: {time.monotonic() - started:.1f} s", flush=True)
 
 
