@@ -190,7 +190,33 @@ def mix(documents: DataFrame, weights=(1, 2, 3), repeats: int = REPEATS, seed: i
     return mixed, segments
 
 
-@query()
+#: A source's blocks are taken in order, so what a document gives is what its stretch of the tape
+#: has in common with the source's first slots x block words, over all passes.
+_SQL = f"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+    sha256('11:' || doc_id) AS key FROM documents),
+s AS (SELECT source, sum(size) AS ss, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM d GROUP BY 1),
+w AS (SELECT *, 1 + i % 3 AS w, {REPEATS} * ss AS cap, sum(ss) OVER () AS total, count(*) OVER () AS k FROM s),
+r AS (SELECT *, total - coalesce(sum(cap) OVER (ORDER BY cap / w, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+    sum(w) OVER (ORDER BY cap / w, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS wl FROM w),
+o AS (SELECT *, rest * w > cap * wl AS over FROM r),
+f AS (SELECT max(total) - coalesce(sum(cap) FILTER (over), 0) AS rest, sum(w) FILTER (NOT over) AS wl FROM o),
+t AS (SELECT source, i, ss, total, k, CASE WHEN over THEN cap::DOUBLE ELSE f.rest::DOUBLE * w / f.wl END AS target FROM o, f),
+c AS (SELECT *, sum(target) OVER (ORDER BY i) / sum(target) OVER () * 18446744073709551616.0 AS high,
+    greatest(1, least({BLOCK_WORDS}, total // ({SLOTS_PER_SOURCE} * k))) AS block FROM t),
+b AS (SELECT *, coalesce(lag(high) OVER (ORDER BY i), 0) AS low FROM c),
+slots AS (SELECT ((n + 1)::HUGEINT * {_GOLDEN} % 18446744073709551616)::DOUBLE AS point
+    FROM (SELECT unnest(range((SELECT max((total + block - 1) // block) FROM b)::BIGINT)) AS n)),
+n AS (SELECT i, count(*) AS slots FROM slots JOIN b ON point >= low AND point < high GROUP BY 1),
+p AS (SELECT d.doc_id, d.size, b.ss, b.target, coalesce(slots, 0) * block AS reach,
+    sum(size) OVER (PARTITION BY b.i ORDER BY key ROWS UNBOUNDED PRECEDING) - size AS before
+    FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source LEFT JOIN n ON n.i = b.i)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(ss AS BIGINT) AS source_size, target, CAST({
+    " + ".join(f"greatest(0, least(before + size + {e} * ss, reach) - before - {e} * ss)" for e in range(REPEATS))
+} AS BIGINT) AS taken FROM p"""
+
+
+@query(_SQL)
 def op8_mixing(spark, sf_dir):
     mixed, _ = mix(table(spark, sf_dir, "documents"))
     return mixed.drop("row_key")
