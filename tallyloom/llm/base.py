@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -29,7 +31,16 @@ def query(sql: str | None = None):
 
 
 def small_batches(spark: SparkSession) -> None:
+    """Bound the texts of a batch, and let workers import this package from where the driver has it.
+
+    The path helps a session started from another folder; on a cluster the package is shipped with
+    --py-files or installed, and the path is simply not there.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (known, root)))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

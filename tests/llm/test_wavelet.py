@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -46,13 +47,34 @@ TEXT = st.text(alphabet="ab'S \n\t\r\x0b\x1c\x85  é1_-.<|endoftext|>", max_s
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.one_of(st.none(), TEXT), max_size=5))
 def test_pieces_give_the_tokenizer_s_ids(texts):
+    check(ENCODERS[0], texts)
+
+
+def check(encoder, texts):
+    ids, counts = encoder.encode(pa.array(texts, pa.string()))
+    expected = [plain_.encode(t or "", add_special_tokens=False).ids + [0] for t in texts]
+    assert ids.tolist() == [i for e in expected for i in e]
+    assert counts.tolist() == [len(e) for e in expected]
+
+
+ENCODERS = [wm.Encoder(wm.tokenizer_path())]
+ENCODERS[0].KNOWN = 3000
+
+
+def test_misleading_hashes(monkeypatch, prose):
+    texts = [prose(i, 50) + "\nand  more" for i in range(6)] + [None, "", " "]
+    monkeypatch.setattr(wm.bw, "hash_words", lambda w: (w.ends - w.starts).astype(np.uint64))
     encoder = wm.Encoder(wm.tokenizer_path())
-    encoder.KNOWN = 30
     for _ in range(2):
-        ids, counts = encoder.encode(texts)
-        expected = [plain_.encode(t or "", add_special_tokens=False).ids + [0] for t in texts]
-        assert ids.tolist() == [i for e in expected for i in e]
-        assert counts.tolist() == [len(e) for e in expected]
+        check(encoder, texts)
+    monkeypatch.undo()
+    check(encoder, texts)
+
+
+def test_other_vocabularies_are_asked_piece_by_piece(prose):
+    encoder = wm.Encoder(wm.tokenizer_path())
+    encoder.lengths = encoder.lengths + 1
+    check(encoder, [prose(1, 300), None])
 
 
 plain_ = plain()
