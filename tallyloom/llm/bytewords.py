@@ -63,23 +63,29 @@ class Words:
         return self.buffer[self.starts[a] : self.ends[b - 1]].tobytes()
 
 
-def split_words(column: pa.Array, word_bytes: np.ndarray, lower: bool = False) -> Words:
-    """Words of a string column; null is empty."""
-    spaced = pc.binary_join_element_wise(
+def spaced(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of the texts of a column, each followed by one blank, and where each begins
+    (one entry more than there are texts). Null is empty."""
+    joined = pc.binary_join_element_wise(
         pc.fill_null(column, "").cast(pa.large_string()),
         pa.scalar("", pa.large_string()),
         pa.scalar(" ", pa.large_string()),
     )
-    offsets = np.frombuffer(spaced.buffers()[1], np.int64)[spaced.offset :][: len(spaced) + 1]
-    data = np.frombuffer(spaced.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
+    offsets = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset :][: len(joined) + 1]
+    data = np.frombuffer(joined.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return data, offsets - offsets[0]
+
+
+def split_words(column: pa.Array, word_bytes: np.ndarray, lower: bool = False) -> Words:
+    """Words of a string column; null is empty."""
+    data, offsets = spaced(column)
     buffer = LOWER[data] if lower else data
     inside = np.zeros(len(buffer) + 2, dtype=np.int8)
     inside[1:-1] = word_bytes[buffer]
     edge = np.diff(inside)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     first = np.searchsorted(starts, offsets)
-    row = np.repeat(np.arange(len(spaced)), np.diff(first))
+    row = np.repeat(np.arange(len(column)), np.diff(first))
     return Words(buffer, starts, ends, row, first)
 
 

@@ -11,7 +11,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,17 +34,10 @@ _LETTERS = np.array(
 
 def trigram_counts(texts: pa.Array) -> np.ndarray:
     """Counts of hashed trigrams, one row per text. Trigrams never mix two texts."""
-    spaced = pc.binary_join_element_wise(
-        pc.fill_null(texts, "").cast(pa.large_string()),
-        pa.scalar("", pa.large_string()),
-        pa.scalar(" ", pa.large_string()),
-    )
-    offsets = np.frombuffer(spaced.buffers()[1], np.int64)[spaced.offset :][: len(spaced) + 1]
-    data = np.frombuffer(spaced.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-    sizes = np.diff(offsets)
+    data, offsets = bw.spaced(texts)
     letters = np.concatenate(([np.uint8(32)], _LETTERS[data]))
     counts = np.zeros(len(texts) * DIMENSIONS, np.float32)
-    ends = np.cumsum(sizes) + 1
+    ends = offsets[1:] + 1
     for a in range(1, len(letters) - 1, bw.CHUNK):
         part = letters[a - 1 : a + bw.CHUNK + 1].astype(np.uint32)
         code = part[:-2] << np.uint32(16) | part[1:-1] << np.uint32(8) | part[2:]

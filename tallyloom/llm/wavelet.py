@@ -12,12 +12,14 @@ block its end and the ones before it, the blocks. All parts but the blocks are c
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import OrderedDict
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -185,75 +187,145 @@ def encode_shard(tokens: np.ndarray, doc_ids: list, lengths: list[int]) -> bytes
     return b"".join([MAGIC, np.array(head, np.int64).tobytes(), *parts, *blocks])
 
 
+_BYTE = np.arange(256)
+_GRAPHIC = (_BYTE > 32) & (_BYTE < 127)
+_ASCII_LETTER = ((_BYTE | 32) >= 97) & ((_BYTE | 32) <= 122) & (_BYTE < 128)
+_LEAD = (_BYTE >= 0xC3) & (_BYTE <= 0xDF)  # first byte of U+00C0 to U+07FF: no white space there
+
+
+def cut_pieces(buffer: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where pieces of the texts in a buffer begin; every text is followed by one blank.
+
+    The tokenizer never joins what stands before a single blank between two other characters with
+    what follows, nor a Latin letter with a point or comma behind it. Where a character could be
+    white space of another script, nothing is cut.
+    """
+    padded = np.concatenate((np.zeros(2, np.uint8), buffer, np.zeros(1, np.uint8)))
+    two, one, here, after = padded[:-3], padded[1:-2], padded[2:-1], padded[3:]
+    solid_before = _GRAPHIC[one] | ((one >= 0x80) & _LEAD[two])
+    blank = (here == 32) & solid_before & (_GRAPHIC[after] | _LEAD[after])
+    accented = ((two == 0xC3) & (one != 0x97) & (one != 0xB7)) | ((two >= 0xC4) & (two <= 0xC8))
+    letter = _ASCII_LETTER[one] | ((one >= 0x80) & accented)
+    point = ((here == 46) | (here == 44)) & letter
+    first = blank | point
+    first[starts[starts < len(first)]] = True
+    return np.flatnonzero(first)
+
+
 class Encoder:
     """Encodes texts piece by piece, each different piece once.
 
-    The tokenizer never joins what stands before a single blank or newline between two other
-    characters with what follows, so a text's ids are those of its pieces in a row. Known pieces are
-    kept until they have KNOWN characters.
+    Pieces are looked up by hash and then compared byte by byte with what was learned; should a hash
+    mislead, the texts go to the tokenizer whole. Learned pieces are kept up to KNOWN bytes.
     """
 
     KNOWN = 8_000_000
+    #: New pieces handed to the tokenizer as one text; its overhead per text is large.
+    TOGETHER = 512
 
     def __init__(self, path: str):
-        import os
-        import re
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cut = re.compile(r"(?<=\S)(?= \S)")
+        names = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
+        # In a byte-level vocabulary every character of a token's name is one byte.
+        self.lengths = np.array([len(n or "") for n in names], np.int64)
         self._forget()
 
     def _forget(self):
-        self.known: dict[str | None, int] = {}
-        self.size = 0
-        self.ids, self.begins, self.used = np.empty(1 << 16, np.uint32), [0], 0
-
-    def _learn(self, pieces: list[str]) -> None:
-        for found in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False):
-            new = found.ids
-            while self.used + len(new) > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
-            self.ids[self.used : self.used + len(new)] = new
-            self.used += len(new)
-            self.begins.append(self.used)
-        for piece in pieces:
-            self.known[piece] = len(self.known)
-            self.size += len(piece)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.hashes, self.slots = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.raw, self.raw_begins = np.empty(0, np.uint8), np.zeros(1, np.int64)
+        self.ids, self.begins = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def _ask(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: bw.Words, new: np.ndarray, hashes: np.ndarray) -> None:
+        """Learn the pieces at places `new`.
+
+        Pieces that begin with a blank and end in a graphic ASCII character keep their borders when
+        written one behind the other, so they are asked for together and told apart by their bytes.
+        """
+        starts, sizes = words.starts[new], words.ends[new] - words.starts[new]
+        last = words.buffer[words.ends[new] - 1]
+        plain = (words.buffer[starts] == 32) & (sizes > 1) & _GRAPHIC[last]
+        order = np.concatenate((np.flatnonzero(plain), np.flatnonzero(~plain)))
+        n = int(plain.sum())
+        hashes, sizes = hashes[order], sizes[order]
+        raw = words.buffer[_ranges(starts[order], sizes)]
+        begins = np.concatenate(([0], np.cumsum(sizes)))
+        cuts = begins[np.minimum(np.arange(0, n + self.TOGETHER, self.TOGETHER), n)].tolist()
+        found = self._ask([raw[a:b].tobytes().decode() for a, b in zip(cuts, cuts[1:]) if b > a])
+        ids = np.array([i for f in found for i in f], np.uint32)
+        ends = np.cumsum(self.lengths[ids])
+        stop = np.searchsorted(ends, begins[1 : n + 1])
+        if n and (stop[-1] >= len(ends) or not np.array_equal(ends[stop], begins[1 : n + 1])):
+            n, ids, stop = 0, ids[:0], stop[:0]  # not a vocabulary of bytes: ask for each piece
+        counts = np.diff(stop + 1, prepend=0)
+        cuts = begins[n:].tolist()
+        alone = self._ask([raw[a:b].tobytes().decode() for a, b in zip(cuts, cuts[1:])])
+        ids = np.concatenate((ids, np.array([i for f in alone for i in f], np.uint32)))
+        counts = np.concatenate((counts, np.array([len(f) for f in alone], np.int64)))
+
+        slots = len(self.begins) - 1 + np.arange(len(order))
+        rank = np.argsort(hashes)
+        at = np.searchsorted(self.hashes, hashes[rank])
+        self.hashes = np.insert(self.hashes, at, hashes[rank])
+        self.slots = np.insert(self.slots, at, slots[rank])
+        self.raw = np.concatenate((self.raw, raw))
+        self.raw_begins = np.concatenate((self.raw_begins, self.raw_begins[-1] + begins[1:]))
+        self.ids = np.concatenate((self.ids, ids))
+        self.begins = np.concatenate((self.begins, self.begins[-1] + np.cumsum(counts)))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each ended by END, and the number of each."""
-        if self.size > self.KNOWN:
+        if len(self.raw) > self.KNOWN:
             self._forget()
-        if END_PIECE not in self.known:
-            self.known[END_PIECE] = len(self.known)
-            self.ids[self.used] = END
-            self.used += 1
-            self.begins.append(self.used)
-        pieces, counts = [], []
-        for text in texts:
-            before = len(pieces)
-            if text:
-                pieces += self.cut.split(text)
-            pieces.append(END_PIECE)
-            counts.append(len(pieces) - before)
-        # END_PIECE is no string, so no text can hold it.
-        new = [p for p in dict.fromkeys(pieces) if p not in self.known]
-        if new:
-            self._learn(new)
-        index = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        begins = np.array(self.begins)
-        first, size = begins[index], begins[index + 1] - begins[index]
-        ends = np.cumsum(size)
-        flat = np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
-        stops = ends[np.cumsum(counts) - 1] if counts else np.empty(0, np.int64)
-        return self.ids[flat], np.diff(np.concatenate(([0], stops)))
-
-
-END_PIECE = None
+        buffer, offsets = bw.spaced(texts)
+        starts = cut_pieces(buffer, offsets[:-1])
+        ends = np.append(starts[1:], len(buffer))
+        final = np.searchsorted(starts, offsets[1:]) - 1  # last piece of each text
+        ends[final] -= 1  # without the blank behind the text
+        held = np.flatnonzero(ends > starts)
+        words = bw.Words(buffer, starts[held], ends[held], held, held)
+        hashes = bw.hash_words(words)
+        unique, first, index = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, unique)
+        new = np.ones(len(unique), bool)
+        new[at < len(self.hashes)] = self.hashes[at[at < len(self.hashes)]] != unique[at < len(self.hashes)]
+        if new.any():
+            self._learn(words, first[new], unique[new])
+            at = np.searchsorted(self.hashes, unique)
+        slot = self.slots[at][index] if len(unique) else np.empty(0, np.int64)
+        sizes = self.raw_begins[slot + 1] - self.raw_begins[slot]
+        same = np.array_equal(sizes, words.ends - words.starts)
+        if not same or not np.array_equal(
+            self.raw[_ranges(self.raw_begins[slot], sizes)], buffer[_ranges(words.starts, sizes)]
+        ):
+            found = [ids + [END] for ids in self._ask(pc.fill_null(texts, "").to_pylist())]
+            return np.array([i for ids in found for i in ids], np.uint32), np.array([len(f) for f in found])
+        counts = np.zeros(len(starts), np.int64)
+        counts[held] = self.begins[slot + 1] - self.begins[slot]
+        counts[final] += 1
+        flat = np.full(int(counts.sum()), END, np.uint32)
+        taken = self.begins[slot + 1] - self.begins[slot]
+        goal = (np.cumsum(counts) - counts)[held]
+        flat[_ranges(goal, taken)] = self.ids[_ranges(self.begins[slot], taken)]
+        return flat, np.diff(np.concatenate(([0], np.cumsum(counts)[final])))
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One encoder per Python worker: what one task has learned the next need not learn again."""
+    return Encoder(path)
+
+
+def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers begin, begin + 1, ... of every range, in a row."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 def write_shards(documents: DataFrame, path: str, tokenizer: str, shard_tokens: int = SHARD_TOKENS) -> None:
@@ -273,7 +345,7 @@ def write_shards(documents: DataFrame, path: str, tokenizer: str, shard_tokens:
     ordered = spread.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
     def rows(batches):
-        encoder = Encoder(tokenizer)
+        encode = encoder(tokenizer).encode
         part = TaskContext.get().partitionId()
         ids, doc_ids, lengths = [], [], []
         held = before = place = 0
@@ -292,7 +364,7 @@ def write_shards(documents: DataFrame, path: str, tokenizer: str, shard_tokens:
             )
 
         for batch in bw.chunks(batches, min(1 << 20, 4 * shard_tokens)):
-            found, counts = encoder.encode(column(batch, "text").to_pylist())
+            found, counts = encode(column(batch, "text"))
             ids.append(found)
             doc_ids += column(batch, "doc_id").to_pylist()
             lengths += counts.tolist()
