@@ -157,14 +157,20 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, kmer: int = KMER)
         _occurrences(window, kmer),
         "edge long, path long, row_key long, first long, windows int",
     )
-    twice = found.groupBy("edge").agg(F.count("*").alias("n")).where("n > 1").select("edge")
+    # Sides of joins that come out of an aggregation are staged: Spark splits the rows of a hot key
+    # only if nothing else is computed in the joining stage.
+    twice = stage(
+        found.groupBy("edge").agg(F.count("*").alias("n")).where("n > 1").select("edge"), "twice"
+    )
     repeated = stage(found.join(twice, "edge", "left_semi"), "edges")
 
     source = F.min(F.struct("row_key", "first", "windows")).alias("source")
     paths = stage(
         repeated.groupBy("edge", "path").agg(F.count("*").alias("n"), source), "paths"
     )
-    branching = paths.groupBy("edge").agg(F.count("*").alias("n")).where("n > 1").select("edge")
+    branching = stage(
+        paths.groupBy("edge").agg(F.count("*").alias("n")).where("n > 1").select("edge"), "branching"
+    )
     to_open = (
         paths.join(branching, "edge", "left_semi")
         .select("source.row_key", F.struct("edge", "path", "source.first", "source.windows").alias("p"))
@@ -178,7 +184,10 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, kmer: int = KMER)
         .mapInArrow(_opened(window), "edge long, path long, place int, one long, two long"),
         "windows",
     )
-    shared = windows.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stage(
+        windows.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two"),
+        "shared",
+    )
     # Windows of one path that lie in several texts are counted by the path's multiplicity; here a
     # window counts once for each path, and twice if its path reaches it twice.
     bits = (
@@ -193,8 +202,9 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, kmer: int = KMER)
         .otherwise(F.coalesce("bits", F.lit(0).cast("long")))
         .alias("mask"),
     )
+    masks = stage(masks.where("mask <> 0"), "masks")
     marks = (
-        repeated.join(masks.where("mask <> 0"), ["edge", "path"])
+        repeated.join(masks, ["edge", "path"])
         .groupBy("row_key")
         .agg(F.collect_list(F.struct("first", "mask")).alias("spans"))
     )
