@@ -241,6 +241,7 @@ def near_duplicates(documents: DataFrame, radius: int = RADIUS, crowd: int = CRO
     )
     groups = rooted.groupBy("root").agg(F.min("first").alias("least"))
     placed = rooted.select("fingerprint", "root").join(groups, "root").select("fingerprint", "least")
+    placed = stage(placed, "groups")  # a plain table, so that the join below splits hot fingerprints
     return rows.join(placed, "fingerprint").select(
         "row_key",
         "doc_id",
