@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import bytewords as bw
 from tallyloom.llm.base import column, extended, query, table, with_row_key
+from tallyloom.session import stage
 
 WINDOW = 13
 GRAM = 6
@@ -162,10 +163,13 @@ def contamination(
     columns are ignored.
     """
     spark = documents.sparkSession
-    bench = benchmark_windows(items, window, gram)
+    bench = stage(benchmark_windows(items, window, gram), "benchmark")
     sizes = sorted(r["size"] for r in bench.select("size").distinct().collect())  # at most `window`
-    by_gram = bench.select("size", "gram").distinct().withColumn("known", F.lit(True))
-    by_words = bench.groupBy("size", "words").agg(F.collect_set("item_id").alias("items"))
+    # Plain tables: below Spark's limit they are broadcast, beyond it hot keys are split.
+    by_gram = stage(bench.select("size", "gram").distinct().withColumn("known", F.lit(True)), "grams")
+    by_words = stage(
+        bench.groupBy("size", "words").agg(F.collect_set("item_id").alias("items")), "windows"
+    )
     field = _bit_field(spark, by_gram)
     keyed = with_row_key(documents.select("doc_id", "text"))
 
