@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.base import column, extended, query, table, with_row_key
 from tallyloom.session import stage
+from tallyloom.sources.tables import rows_table
 
 WORD = r"[^\x20\x09-\x0D]+"
 REPEATS = 3
@@ -141,15 +142,17 @@ def mix(documents: DataFrame, weights=(1, 2, 3), repeats: int = REPEATS, seed: i
     total = sum(sizes)
     block = max(1, min(BLOCK_WORDS, total // (SLOTS_PER_SOURCE * max(1, len(sizes)))))
     n_slots = -(-total // block)
-    sources = spark.createDataFrame(
+    # Spark knows the size of this table: few sources are broadcast, many are joined with skew split.
+    sources = rows_table(
+        spark,
         [(r["name"], i, s, g) for i, (r, s, g) in enumerate(zip(stats, sizes, goals))],
-        "name string, source int, source_size long, target double",
+        "name string, source int, source_size bigint, target double",
     )
-    known = measured.join(F.broadcast(sources), measured["name"].eqNullSafe(sources["name"])).select(
+    known = measured.join(sources, measured["name"].eqNullSafe(sources["name"])).select(
         "row_key", "doc_id", "source", "size", "source_size", "target", "key", "tie"
     )
     slots = stage(schedule(spark, goals, n_slots), "schedule")
-    filled = slots.groupBy("source").agg((F.max("rank") + 1).alias("slots"))
+    filled = stage(slots.groupBy("source").agg((F.max("rank") + 1).alias("slots")), "slots-per-source")
 
     parts = max(1, sum(r["n"] for r in stats) // ROWS_PER_PART, spark.sparkContext.defaultParallelism)
     order = ["source", "key", "tie", "row_key"]
@@ -161,8 +164,8 @@ def mix(documents: DataFrame, weights=(1, 2, 3), repeats: int = REPEATS, seed: i
         "size",
         "tape",
     )
-    # Only stretches that some slot of the source can reach; a source's slots are one number.
-    reached = tape.join(F.broadcast(filled), "source").where("size > 0")
+    # Only stretches that some slot of the source can reach.
+    reached = tape.join(filled, "source").where("size > 0")
     start = F.col("pass_") * F.col("source_size") + F.col("before")
     last = F.least(
         F.floor((F.col("start") + F.col("size") - 1) / F.lit(block)), F.col("slots") - 1
