@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontamination, mixing, simhash, toxicity, wavelet
+from tallyloom.llm import decontamination, mixing, nearcopies, toxicity, wavelet
 from tallyloom.llm.base import fresh, small_batches, with_row_key
 from tallyloom.session import stage
 
@@ -35,9 +35,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates one document stays: the one with the least doc_id."""
+    """Of each group of near copies (five-word runs, Jaccard 0.8) the one with the least doc_id stays."""
     small_batches(spark)
-    keepers = simhash.near_duplicates(docs).where("keeper").select("row_key")
+    keepers = nearcopies.near_copies(docs).where("keeper").select("row_key")
     return _join(docs, keepers, "left_semi")
 
 
