@@ -25,6 +25,7 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+_AT = re.compile(r"@|(?<![^\W\d_])[aA][tT](?![^\W\d_])")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 
@@ -53,7 +54,7 @@ def _emails(text: str):
 def _holds(kind: str, text: str) -> bool:
     """What a span of a kind must hold."""
     if kind == "email":
-        return True
+        return _AT.search(text) is not None
     if kind == "ip":
         parts = re.findall(r"[0-9]+", text)
         return len(parts) == 4 and all(len(p.lstrip("0")) <= 3 and int(p[-4:]) <= 255 for p in parts)
@@ -120,15 +121,26 @@ LABELLED = (
     "win 10,000 or 20,000 points",
     "the 2nd of 3 in B2B and A4",
     "mail me @ home, 3 @ 2 each",
+    "write to <email:anna (at) host (dot) example (dot) org> today",
+    "ask <email:bo.li [at] mail [dot] example [dot] com>, please",
+    "reach <email:max_k (at) web.example.net> soon",
+    "we met at noon and sat at home",
+    "the dot at the end (at last) is a dot",
+    "look at it: a dot, at most, and no more",
+    "plain words stand here, and more words follow them.",
+    "He said (quietly) that they left. She stayed [again] at home.",
 )
 
 _MARK = re.compile(r"<(\w+):([^>]*)>")
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\s]")
 _LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
-_TRIGGER = re.compile(r"[0-9@]\S*")
-#: Characters before and after a word with a digit or @ that the field sees; farther ones are O.
-CONTEXT = 24
+#: Every span that counts has one of these: @ or at in an address, digits in the other kinds.
+_NEEDED = re.compile(r"[0-9]|" + _AT.pattern)
 EPOCHS = 40
+#: Cells (sequences x longest) decoded together, and tokens scored together.
+CELLS = 1 << 18
+#: Different neighbourhoods whose weights a worker remembers.
+REMEMBERED = 100_000
 
 
 def _tokens(text: str, start: int = 0, end: int | None = None) -> list[tuple[int, int]]:
@@ -150,25 +162,24 @@ def _features(text: str, spans: list[tuple[int, int]]) -> list[list[str]]:
     joins = ["" if i and spans[i - 1][1] == spans[i][0] else "_" for i in range(len(spans))]
     padded = ["<<", "<", *shapes, ">", ">>"]
     glued = ["_", "_", *joins, "_", "_"]
-    out = []
-    for i in range(len(spans)):
-        p = i + 2
-        left, here, right = padded[p - 1], padded[p], padded[p + 1]
-        gap, next_gap = glued[p], glued[p + 1]
-        out.append(
-            [
-                "bias",
-                "0" + here,
-                "-1" + left + gap,
-                "+1" + next_gap + right,
-                "-10" + left + gap + here,
-                "+01" + here + next_gap + right,
-                "-101" + left + gap + here + next_gap + right,
-                "-2-10" + padded[p - 2] + glued[p - 1] + left + gap + here,
-                "+012" + here + next_gap + right + glued[p + 2] + padded[p + 2],
-            ]
-        )
-    return out
+    return [_named(padded[i : i + 5], glued[i + 1 : i + 5]) for i in range(len(spans))]
+
+
+def _named(shapes: list[str], gaps: list[str]) -> list[str]:
+    """Features of a token from five shapes, its own in the middle, and the gaps between them."""
+    far, left, here, right, last = shapes
+    far_gap, gap, next_gap, last_gap = gaps
+    return [
+        "bias",
+        "0" + here,
+        "-1" + left + gap,
+        "+1" + next_gap + right,
+        "-10" + left + gap + here,
+        "+01" + here + next_gap + right,
+        "-101" + left + gap + here + next_gap + right,
+        "-2-10" + far + far_gap + left + gap + here,
+        "+012" + here + next_gap + right + last_gap + last,
+    ]
 
 
 def _labelled(marked: str):
@@ -210,30 +221,48 @@ class Field:
         return np.array([[get(f, unknown) for f in row] for row in features], np.int64)
 
     def decode(self, sequences: list[np.ndarray]) -> list[np.ndarray]:
-        """Best labels of each sequence of feature ids, all sequences of a batch step by step."""
-        out: list = [None] * len(sequences)
-        order = sorted(range(len(sequences)), key=lambda i: len(sequences[i]))
-        for a in range(0, len(order), 256):
-            part = order[a : a + 256]
-            sizes = np.array([len(sequences[i]) for i in part])
-            longest = int(sizes.max(initial=0))
-            emit = np.zeros((len(part), longest, len(_LABELS)))
-            for row, i in enumerate(part):
-                emit[row, : sizes[row]] = self.weights[sequences[i]].sum(axis=1)
-            move = self.pairs + self.closed
-            best = emit[:, 0] + self.first
-            back = np.zeros((len(part), longest, len(_LABELS)), np.int8)
-            for t in range(1, longest):
-                paths = best[:, :, None] + move
-                back[:, t] = paths.argmax(axis=1)
-                live = (t < sizes)[:, None]
-                best = np.where(live, paths.max(axis=1) + emit[:, t], best)
+        """Best labels of each sequence of feature ids."""
+        return self.paths([len(s) for s in sequences], lambda i, a, b: self.weights[sequences[i][a:b]].sum(axis=1))
+
+    def paths(self, sizes: list[int], emitted) -> list[np.ndarray]:
+        """Best labels of sequences, all of a group step by step; `emitted` gives the weights of a
+        part of a sequence.
+        """
+        out: list = [None] * len(sizes)
+        order = sorted(range(len(sizes)), key=lambda i: sizes[i])
+        n = len(_LABELS)
+        move = self.pairs + self.closed
+        a = 0
+        while a < len(order):
+            b = a + 1
+            while b < len(order) and b - a < 256:
+                b += 1
+            part, a = order[a:b], b
+            longest = sizes[part[-1]]
+            lengths = np.array([sizes[i] for i in part])
+            block = max(1, longest)
+            back = np.zeros((longest, len(part), n), np.int8)
+            best = np.zeros((len(part), n))
+            for begin in range(0, longest, block):
+                end = min(longest, begin + block)
+                emit = np.zeros((end - begin, len(part), n))
+                for row, i in enumerate(part):
+                    if sizes[i] > begin:
+                        emit[: min(end, sizes[i]) - begin, row] = emitted(i, begin, min(end, sizes[i]))
+                for t in range(begin, end):
+                    if t == 0:
+                        best = emit[0] + self.first
+                        continue
+                    paths = best[:, :, None] + move
+                    back[t] = paths.argmax(axis=1)
+                    live = (t < lengths)[:, None]
+                    best = np.where(live, paths.max(axis=1) + emit[t - begin], best)
             for row, i in enumerate(part):
-                labels = np.zeros(sizes[row], np.int8)
+                labels = np.zeros(sizes[i], np.int8)
                 label = int(best[row].argmax())
-                for t in range(int(sizes[row]) - 1, -1, -1):
+                for t in range(sizes[i] - 1, -1, -1):
                     labels[t] = label
-                    label = int(back[row, t, label])
+                    label = int(back[t, row, label])
                 out[i] = labels
         return out
 
@@ -292,47 +321,121 @@ def train(table_: tuple[str, ...] = LABELLED, epochs: int = EPOCHS, penalty: flo
     return field
 
 
-def _stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of a text around words with a digit or @, merged where they meet."""
-    out: list[tuple[int, int]] = []
-    for m in _TRIGGER.finditer(text):
-        start = m.start()
-        while start and not text[start - 1].isspace():
-            start -= 1
-        a, b = max(0, start - CONTEXT), min(len(text), m.end() + CONTEXT)
-        if out and a <= out[-1][1]:
-            out[-1] = out[-1][0], b
-        else:
-            out.append((a, b))
-    return out
+_PADS = ("<<", "<", ">", ">>")
+
+
+class Scorer:
+    """Weights of the field for tokens, remembered by the shapes and gaps around them."""
+
+    def __init__(self, field: Field):
+        self.field = field
+        self.shapes = {name: i for i, name in enumerate(_PADS)}
+        self.codes: dict[str, int] = {}
+        self._clear()
+
+    def _clear(self):
+        self.rows: dict[int, int] = {}
+        self.emit = np.empty((0, len(_LABELS)))
+
+    def code(self, piece: str) -> int:
+        found = self.codes.get(piece)
+        if found is None:
+            found = self.shapes.setdefault(_shape(piece), len(self.shapes))
+            if len(self.codes) < REMEMBERED:
+                self.codes[piece] = found
+        return found
+
+    def places(self, text: str):
+        """Borders of the tokens, and the row of weights of each."""
+        starts, ends, codes = [], [], []
+        parts = []
+        code = self.code
+
+        def fold():
+            parts.append((np.array(starts, np.int64), np.array(ends, np.int64), np.array(codes, np.int64)))
+            starts.clear(), ends.clear(), codes.clear()
+
+        for m in _TOKEN.finditer(text):
+            a, b = m.span()
+            starts.append(a)
+            ends.append(b)
+            codes.append(code(m[0]))
+            if len(codes) == CELLS:
+                fold()
+        fold()
+        start, end, shape = (np.concatenate(x) for x in zip(*parts))
+        n = len(shape)
+        if not n:
+            return start, end, shape
+        padded = np.concatenate(([0, 1], shape, [2, 3]))
+        glued = np.ones(n + 4, np.int64)
+        glued[3 : n + 2] = start[1:] != end[:-1]
+        around = np.zeros(n, np.int64)
+        for k in range(5):
+            around = around * 64 + padded[k : n + k]
+        for k in range(1, 5):
+            around = around * 2 + glued[k : n + k]
+        different, inverse = np.unique(around, return_inverse=True)
+        return start, end, self._numbered(different)[inverse]
+
+    def _numbered(self, around: np.ndarray) -> np.ndarray:
+        new = [x for x in around.tolist() if x not in self.rows]
+        if new:
+            names = list(self.shapes)
+            ids = []
+            for x in new:
+                self.rows[x] = len(self.rows)
+                gaps = ["_" if x >> 3 - k & 1 else "" for k in range(4)]
+                p = [names[x >> 4 + 6 * (4 - k) & 63] for k in range(5)]
+                ids.append(_named(p, gaps))
+            emit = self.field.weights[self.field.ids(ids)].sum(axis=1)
+            self.emit = np.concatenate((self.emit, emit))
+        return np.array([self.rows[x] for x in around.tolist()], np.int64)
+
+
+@lru_cache(maxsize=2)
+def _scorer(field: Field) -> Scorer:
+    return Scorer(field)
 
 
 def find_spans(texts: list[str | None], field: Field) -> list[tuple[dict, dict]]:
     """Pattern spans and added spans of each text, by kind."""
     known = [base_spans(text or "") for text in texts]
-    places, sequences = [], []
-    for i, text in enumerate(texts):
-        for a, b in _stretches(text or ""):
-            tokens = _tokens(text, a, b)
-            if tokens:
-                places.append((i, tokens))
-                sequences.append(field.ids(_features(text, tokens)))
     added: list[dict] = [{kind: [] for kind in KINDS} for _ in texts]
-    taken = [sorted(s for spans in k.values() for s in spans) for k in known]
-    for (i, tokens), labels in zip(places, field.decode(sequences)):
+    scorer = _scorer(field)
+    if len(scorer.rows) > REMEMBERED:
+        scorer._clear()
+    waiting, held = [], 0
+    for i, text in enumerate(texts):
+        if _NEEDED.search(text or ""):
+            waiting.append((i, *scorer.places(text)))
+            held += len(waiting[-1][3])
+        if held > 4 * CELLS or i == len(texts) - 1:
+            _decode(waiting, scorer, texts, known, added)
+            waiting, held = [], 0
+    return list(zip(known, added))
+
+
+def _decode(waiting, scorer: Scorer, texts, known, added) -> None:
+    """Add the spans of the field in whole texts (index, borders of tokens, their rows of weights)."""
+    found = scorer.field.paths(
+        [len(w[3]) for w in waiting],
+        lambda i, a, b: scorer.emit[waiting[i][3][a:b]],
+    )
+    taken = {i: sorted(s for spans in known[i].values() for s in spans) for i in {w[0] for w in waiting}}
+    for (i, start, end, _), labels in zip(waiting, found):
         t = 0
-        while t < len(tokens):
+        while t < len(labels):
             if labels[t] == 0:
                 t += 1
                 continue
             begin, kind = t, KINDS[(labels[t] - 1) // 2]
             t += 1
-            while t < len(tokens) and labels[t] and labels[t] % 2 == 0:
+            while t < len(labels) and labels[t] and labels[t] % 2 == 0:
                 t += 1
-            a, b = tokens[begin][0], tokens[t - 1][1]
+            a, b = int(start[begin]), int(end[t - 1])
             if _holds(kind, texts[i][a:b]) and not _touches(taken[i], a, b):
                 added[i][kind].append((a, b))
-    return list(zip(known, added))
 
 
 def _touches(spans: list[tuple[int, int]], a: int, b: int) -> bool:

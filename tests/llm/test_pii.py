@@ -106,3 +106,44 @@ def test_rows(docs, odd):
     assert (found[2].base, found[2].spans) == ("", "phone:0:14")
     assert all(r.spans == "" for i, r in found.items() if i not in (1, 2))
     assert pii.personal_data(docs([]).select("doc_id", "text")).count() == 0
+
+
+def whole(text, field):
+    """Spans of the field's best path over all tokens at once."""
+    tokens = pii._tokens(text)
+    (labels,) = field.decode([field.ids(pii._features(text, tokens))]) if tokens else ([],)
+    taken = [s for spans in pii.base_spans(text).values() for s in spans]
+    out, t = {kind: [] for kind in pii.KINDS}, 0
+    while t < len(labels):
+        begin, t = t, t + 1
+        if labels[begin]:
+            kind = pii.KINDS[(labels[begin] - 1) // 2]
+            while t < len(labels) and labels[t] and labels[t] % 2 == 0:
+                t += 1
+            a, b = tokens[begin][0], tokens[t - 1][1]
+            if pii._holds(kind, text[a:b]) and not pii._touches(taken, a, b):
+                out[kind].append((a, b))
+    return out
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["jo", "anna_b", "at", "(at)", "[at]", "@", "dot", "(dot)", "host", "example", "org",
+    "mail3.example.org", "plain", "Words", "(212)", "555-0187", "4111", "192-168-17-45", "12", ".", ",", "é", "#"]),
+    max_size=40).flatmap(lambda parts: st.sampled_from(["", " ", "  "]).map(lambda s: s.join(parts))))
+def test_cuts_change_nothing(text):
+    field = pii.train()
+    (_, found), *_ = pii.find_spans([text], field)
+    assert found == whole(text, field)
+
+
+@pytest.mark.parametrize(
+    "mail",
+    [
+        "anna (at) host (dot) example (dot) org",
+        "kim [at] web [dot] example [dot] net",
+        "maximiliana.konstantina.lindqvist.von.hohenberg (at) mail3.example.org",
+    ],
+)
+def test_addresses_without_digits_or_longer_than_a_line(mail):
+    assert added(f"write to {mail} today") == [("email", mail)]
+    assert added("they went home at noon and a dot (at last) was left.") == []
