@@ -227,6 +227,9 @@ class Field:
     def paths(self, sizes: list[int], emitted) -> list[np.ndarray]:
         """Best labels of sequences, all of a group step by step; `emitted` gives the weights of a
         part of a sequence.
+
+        Groups are bounded by sequences x longest. Weights are held for a block of steps only; what
+        a long sequence keeps is the running state and one byte per token and label.
         """
         out: list = [None] * len(sizes)
         order = sorted(range(len(sizes)), key=lambda i: sizes[i])
@@ -235,12 +238,12 @@ class Field:
         a = 0
         while a < len(order):
             b = a + 1
-            while b < len(order) and b - a < 256:
+            while b < len(order) and b - a < 256 and (b - a + 1) * sizes[order[b]] <= CELLS:
                 b += 1
             part, a = order[a:b], b
             longest = sizes[part[-1]]
             lengths = np.array([sizes[i] for i in part])
-            block = max(1, longest)
+            block = max(1, CELLS // len(part))
             back = np.zeros((longest, len(part), n), np.int8)
             best = np.zeros((len(part), n))
             for begin in range(0, longest, block):

@@ -147,3 +147,15 @@ def test_cuts_change_nothing(text):
 def test_addresses_without_digits_or_longer_than_a_line(mail):
     assert added(f"write to {mail} today") == [("email", mail)]
     assert added("they went home at noon and a dot (at last) was left.") == []
+
+
+def test_memory_of_a_long_table_is_bounded():
+    import tracemalloc
+
+    field, long = pii.train(), "12 7 305 " * 20_000
+    pii.find_spans([long[:9000]], field)
+    tracemalloc.start()
+    pii.find_spans([long, *["call (212) 555-0187 now"] * 255], field)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
