@@ -75,6 +75,14 @@ def crc_fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds, F.lit(0))
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of an ASCII text."""
+    step = "lambda x, k: xor(x >> 1, 3988292384 * (x & 1))"
+    byte = f"lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), {step})"
+    codes = f"list_transform(string_split({text}, ''), lambda ch: ord(ch)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), {byte}), 4294967295)"
+
+
 def bounded_sample(df: DataFrame, by: str, bound: int, seed: int = 17) -> DataFrame:
     """At most `bound` rows of each value of `by`, chosen by a hash of doc_id, whatever the size.
 

@@ -6,6 +6,7 @@ from tallyloom.llm import (  # noqa: F401
     decontamination,
     exactdedup,
     language,
+    merkle,
     mixing,
     pii,
     simhash,
