@@ -9,6 +9,7 @@ from tallyloom.llm import (  # noqa: F401
     merkle,
     mixing,
     pii,
+    prefixtrie,
     simhash,
     toxicity,
     wavelet,
