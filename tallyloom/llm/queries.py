@@ -7,6 +7,7 @@ from tallyloom.llm import (  # noqa: F401
     exactdedup,
     language,
     merkle,
+    minhash,
     mixing,
     pii,
     prefixtrie,
