@@ -23,9 +23,11 @@ from tallyloom.operators.series import align_series, period_totals, series_corre
 from tallyloom.operators.shaping import exclude
 from tallyloom.sources import schemas
 from tallyloom.sources.catalog import Catalog
-from tallyloom.sources.tables import read_strings, rows_table
+from tallyloom.sources.tables import read_by_header, read_strings, rows_table
 
 COMMUNITY, AUTHOR, DATE, POST = "subreddit", "author", "date", "post"
+#: Key given to posts when they are landed.
+KEY = "post_id"
 
 # The studied season and years, and the community that does not cover them.
 SEASON = (1, 4, [2018, 2019, 2020])
@@ -36,13 +38,19 @@ UNEVEN = ["EDAnonymous"]
 
 
 def read_posts(spark: SparkSession, path: str) -> DataFrame:
-    """The corpus with typed dates. Further columns of the files are ignored; files whose headers
-    differ from each other are an error."""
-    raw = read_strings(spark, path, multiline=True)
+    """The corpus with typed dates. Files may have their columns in any order, and further ones, which
+    are ignored; a column that a file lacks is null, one that all lack is an error."""
+    raw = read_by_header(spark, path, multiline=True)
     posts = raw.select(*[F.col(f.name).cast(f.dataType) for f in schemas.POSTS])
     return posts.withColumn(DATE, parse_date(F.col(DATE)))
 
 
+def with_key(posts: DataFrame) -> DataFrame:
+    """Posts carry no key, and equal ones are posts of their own: they are numbered as they are landed.
+    Only the written table keeps the numbers; read from the source again, rows may be numbered otherwise."""
+    return posts.withColumn(KEY, F.monotonically_increasing_id())
+
+
 def read_cases(spark: SparkSession, path: str) -> DataFrame:
     raw = read_strings(spark, path, multiline=True)
     return raw.select(
@@ -53,14 +61,14 @@ def read_cases(spark: SparkSession, path: str) -> DataFrame:
 
 def run(spark: SparkSession, catalog: Catalog, posts_path: str, cases_path: str | None = None) -> None:
     """Land the posts as Parquet once, then write every report from that copy."""
-    catalog.save(read_posts(spark, posts_path), "posts")
+    catalog.save(with_key(read_posts(spark, posts_path)), "posts")
     everything = catalog.table(spark, "posts")
     posts = exclude(everything, COMMUNITY, UNEVEN)
     season = posts.where(in_season(F.col(DATE), *SEASON))
     year = posts.where(in_dates(F.col(DATE), *ENGAGEMENT))
 
     reports = {
-        "profile": profile(everything),
+        "profile": profile(everything.drop(KEY)),
         "posts_by_community": activity.activity_share(posts, COMMUNITY),
         "posts_by_month": activity.activity_counts(posts, DATE, "month", post=POST),
         "season_by_month": activity.activity_counts(season, DATE, "year_month", post=POST),

@@ -40,6 +40,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _staged: list[str] = []
+_tables: list[str] = []
 
 
 def unique_path(spark: SparkSession, label: str) -> str:
@@ -60,8 +61,20 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_buckets(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
+    """As `stage`, dealt to buckets by a key: joins and groupings by it do not shuffle the table again."""
+    path, spark = unique_path(df.sparkSession, label), df.sparkSession
+    name = f"staged_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, key)
+    dealt.write.option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    _tables.append(name)
+    return spark.table(name)
+
+
 def clear_staged(spark: SparkSession) -> None:
     """Delete all that this process has staged. Call it when no result that reads it is needed."""
+    while _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     while _staged:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staged.pop())

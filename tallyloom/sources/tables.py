@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.ml.util import JavaMLReadable, MLWritable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
 
 def read_strings(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
@@ -26,6 +26,43 @@ def read_strings(spark: SparkSession, path: str, multiline: bool = False) -> Dat
     return reader.schema(reader.csv(path).schema).option("enforceSchema", False).csv(path)
 
 
+def header_groups(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files of a folder or pattern by their header. One line of each file is read."""
+    files = spark.read.format("binaryFile").load(path).select("path").distinct().collect()
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for name in sorted(row["path"] for row in files):
+        groups.setdefault(tuple(reader.csv(_literal(name)).columns), []).append(name)
+    return groups
+
+
+def _literal(path: str) -> str:
+    """A path that is read as it is, though readers take patterns."""
+    return "".join(f"\\{c}" if c in "*?[]{}\\" else c for c in path)
+
+
+def read_by_header(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Header CSV files of which each has its own columns in its own order, all as text.
+
+    Files are read together by header, each group under its own names, and the groups are put
+    together by name: a column that a file lacks is null in its rows. Names that differ in case are
+    one column. Files without any line have no rows.
+    """
+    parts = []
+    for names, files in header_groups(spark, path).items():
+        if not names:
+            continue
+        reader = spark.read.option("header", True).option("multiLine", multiline).option("enforceSchema", False)
+        schema = StructType([StructField(name, StringType()) for name in names])
+        parts.append(reader.option("quote", '"').option("escape", '"').schema(schema).csv([_literal(f) for f in files]))
+    if not parts:
+        raise ValueError(f"no file with a header at {path}")
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part, allowMissingColumns=True)
+    return whole
+
+
 def read_table(
     spark: SparkSession,
     path: str | Sequence[str],

@@ -236,3 +236,31 @@ def test_topic_reports(spark, catalog, report):
     assert report("topics/lda").select("topic").distinct().count() == 15
     clustered = catalog.table(spark, "clustered_posts")
     assert spark.read.text(catalog.table_path("cluster_text")).count() == clustered.count()
+    keys = catalog.table(spark, "posts").select("post_id")
+    assert keys.distinct().count() == keys.count()
+    words = catalog.table(spark, "cluster_documents").agg(F.sum(F.size(F.split("text", " ")))).first()[0]
+    assert words == clustered.agg(F.sum(F.greatest(F.size("filtered_words"), F.lit(1)))).first()[0]
+
+
+def test_new_posts_are_scored_by_saved_models(spark, catalog):
+    posts = catalog.table(spark, "posts").where("subreddit = 'suicidewatch' AND post IS NOT NULL")
+    known = {r["post_id"]: (r["cluster"], r["similarity"]) for r in catalog.table(spark, "post_clusters").collect()}
+    nearest, coverage = topic_reports.score_posts(spark, catalog, posts)
+    for row in nearest.collect():
+        assert row["similarity"] == pytest.approx(known[row["post_id"]][1])
+    assert coverage.where("unknown_words > 0").isEmpty()
+
+
+def test_equal_posts_count_as_posts_of_their_own(spark, catalog, tmp_path):
+    from tallyloom.operators import features, topics
+    from tallyloom.plans.posting_reports import KEY, with_key
+
+    rows = [("a", "d", "sun sea")] * 2 + [("b", "d", "stock bond"), ("c", "d", "bread oven"), ("d", "d", "sea wave")]
+    with_key(spark.createDataFrame(rows, "author string, date string, post string")).write.parquet(str(tmp_path / "posts"))
+    posts = spark.read.parquet(str(tmp_path / "posts"))
+    fitted, weighed = features.fit_model(posts, KEY, "post", [])
+    assert {r["word"]: r["df"] for r in fitted.words.collect()}["sea"] == 3
+    _, clustered = topics.cluster_posts(posts, KEY, "post", k=2, stop_words=[], features=weighed)
+    assert clustered.count() == 5
+    counts = {r["word"]: r["counts"] for r in topics.cluster_word_counts(clustered).groupBy("word").agg(F.sum("counts").alias("counts")).collect()}
+    assert counts["sun"] == 2 and counts["sea"] == 3

@@ -105,3 +105,20 @@ def test_sorted_reports(spark, tmp_path):
     files = sorted(p for p in (tmp_path / "r").iterdir() if p.name.startswith("part-"))
     lines = [line for p in files for line in p.read_text().splitlines()[1:]]
     assert len(files) > 1 and [int(line.split(",")[0]) for line in lines] == list(range(499, -1, -1))
+
+
+def test_files_with_headers_of_their_own(spark, tmp_path, rows):
+    from tallyloom.sources.tables import read_by_header
+
+    (tmp_path / "a.csv").write_text('author,date,post\nann,d1,"one, two\nthree"\n')
+    (tmp_path / "b.csv").write_text("post,author,date,extra\nfour,bob,d2,x\n")
+    (tmp_path / "c[1].csv").write_text("date,post\nd3,five\n")
+    (tmp_path / "d.csv").write_text("author,date,post\ncid,d4,six\n")
+    (tmp_path / "e.csv").write_text("")
+    found = read_by_header(spark, str(tmp_path / "*"), multiline=True).select("author", "date", "post", "extra")
+    assert rows(found) == sorted(
+        [("ann", "d1", "one, two\nthree", None), ("bob", "d2", "four", "x"), (None, "d3", "five", None), ("cid", "d4", "six", None)],
+        key=repr,
+    )
+    with pytest.raises(ValueError, match="no file"):
+        read_by_header(spark, str(tmp_path / "e.csv"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as tx
-from tallyloom.functions.lexicons import ENGLISH_STOP_WORDS, EXTRA_STOP_WORDS
-from tallyloom.operators import topics, words
+from tallyloom.functions.lexicons import COMMUNITY_KEYWORDS, ENGLISH_STOP_WORDS, EXTRA_STOP_WORDS
+from tallyloom.operators import assembly, features, phrases, topics, words
 from tallyloom.operators.ordering import rank_top_bottom
+from tallyloom.session import unique_path
 from tallyloom.sources.tables import rows_table
 from workload.registry import query, rounded, table
 
@@ -217,3 +218,88 @@ def nmf_topics(spark, sf):
         stop_words=tx.topic_stop_words(),
     )
     return _sums(df)
+
+
+# A model fitted to the documents, saved and loaded again, weighs the words of the conversations.
+TURNS = f"""turns AS (SELECT conv_id || '/' || turn AS turn_id, {ALL_TOPIC} AS t FROM conversations WHERE text IS NOT NULL),
+    fitted AS (SELECT word, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest({ALL_TOPIC}) AS word FROM documents) GROUP BY 1),
+    seen AS (SELECT turn_id, word, count(*) AS tf FROM (SELECT turn_id, unnest(t) AS word FROM turns) GROUP BY 1, 2)"""
+
+
+def _transformed(spark, sf):
+    model, _ = features.fit_model(_docs(spark, sf), "doc_id", "text", tx.topic_stop_words())
+    path = unique_path(spark, "feature-model")
+    model.save(path)
+    turns = spark.read.parquet(f"{sf}/conversations.parquet")
+    turns = turns.select(F.concat_ws("/", "conv_id", "turn").alias("turn_id"), "text")
+    return features.transform(features.FeatureModel.load(spark, path), turns, "turn_id", "text")
+
+
+@query(f"""WITH {TURNS} SELECT turn_id, word, tf,
+    round(tf * ln(((SELECT count(*) FROM documents WHERE text IS NOT NULL) + 1) / (df + 1)), 6) AS weight FROM seen JOIN fitted USING (word)""")
+def new_post_features(spark, sf):
+    return rounded(_transformed(spark, sf).terms.select("turn_id", "word", "tf", "weight"), ["weight"])
+
+
+@query(f"""WITH {TURNS} SELECT turn_id, CAST(coalesce(sum(tf) FILTER (df IS NOT NULL), 0) AS BIGINT) AS known_words,
+    CAST(coalesce(sum(tf) FILTER (df IS NULL), 0) AS BIGINT) AS unknown_words
+    FROM turns LEFT JOIN seen USING (turn_id) LEFT JOIN fitted USING (word) GROUP BY 1""")
+def new_post_coverage(spark, sf):
+    return _transformed(spark, sf).coverage
+
+
+TERMS = f"(SELECT DISTINCT doc_id, unnest({ALL_TOPIC}) AS word FROM documents)"
+
+
+@query(f"""SELECT topic, (SELECT count(DISTINCT word) FROM {TERMS}) AS words, (SELECT count(DISTINCT doc_id) FROM {TERMS}) AS documents,
+    true AS loss_fell, true AS loss_is_theirs FROM (SELECT unnest(range(10)) AS topic)""")
+def topic_factors(spark, sf):
+    """Factors of all words. Their loss must never rise, and is computed again from the tables returned."""
+    terms = topics.fit_features(_docs(spark, sf), "doc_id", "text", tx.topic_stop_words()).terms
+    found = features.topic_factors(terms, "doc_id", k=10, rounds=6)
+    loss, losses = features.topic_loss(terms, found, "doc_id"), found.losses
+    fell = all(b <= a * (1 + 1e-9) for a, b in zip(losses, losses[1:]))
+    counts = terms.agg(F.countDistinct("index").alias("words"), F.countDistinct("doc_id").alias("documents")).first()
+    return found.topics.select(F.col("topic").cast("bigint").alias("topic")).distinct().select(
+        "topic", F.lit(counts["words"]).alias("words"), F.lit(counts["documents"]).alias("documents"), F.lit(fell).alias("loss_fell"),
+        F.lit(abs(loss - losses[-1]) <= 1e-6 * losses[-1]).alias("loss_is_theirs"),
+    )
+
+
+@query(f"SELECT DISTINCT doc_id, true AS nearest, true AS similarity_is_theirs FROM {TERMS}")
+def spherical_clusters(spark, sf):
+    """Documents and whether no emitted centroid is nearer than the one they were given."""
+    terms = topics.fit_features(_docs(spark, sf), "doc_id", "text", tx.topic_stop_words()).terms
+    centroids, assigned = features.cluster_terms(terms, "doc_id", k=5)
+    scores = features.similarities(terms, centroids, "doc_id")
+    own = F.max(F.when(F.col("cluster") == F.col("given"), F.col("similarity")))
+    checked = scores.join(assigned.select("doc_id", F.col("cluster").alias("given"), F.col("similarity").alias("told")), "doc_id")
+    return checked.groupBy("doc_id").agg(
+        (own >= F.max("similarity") - 1e-9).alias("nearest"), (F.abs(own - F.max("told")) < 1e-9).alias("similarity_is_theirs")
+    )
+
+
+@query("""WITH s AS (SELECT source, string_agg(text, ' ' ORDER BY doc_id, text) AS whole FROM documents WHERE text IS NOT NULL GROUP BY 1),
+    c AS (SELECT source, whole, unnest(range(0, length(whole), 50000)) AS start FROM s)
+    SELECT source, start // 50000 AS chunk, start AS "offset", md5(substring(whole, start + 1, 50000)) AS text FROM c""")
+def text_by_source(spark, sf):
+    chunks = assembly.ordered_text(_docs(spark, sf), "source", "doc_id", "text", chunk=50_000)
+    return chunks.withColumn("text", F.md5("text"))
+
+
+PHRASES = {
+    "common": [*LEXICON, "that", "with the", "and", "in the"],
+    "long": ["in the and", "der die und in", "et la de", "the", "und die", *(f"{a} {b}" for a in ("the", "in", "und", "la") for b in ("the", "in", "und", "la"))],
+    **COMMUNITY_KEYWORDS,
+}
+RUNS = " UNION ALL ".join(
+    f"SELECT lang, unnest(list_transform(generate_series(1, len(w) - {n}), lambda i: array_to_string(w[i:i+{n}], ' '))) AS entry FROM t"
+    for n in range(max(entry.count(" ") for entries in PHRASES.values() for entry in entries) + 1)
+)
+
+
+@query(f"""WITH t AS (SELECT lang, {WORDS} AS w FROM documents), g AS ({RUNS}),
+    l AS (SELECT DISTINCT * FROM (VALUES {', '.join(f"({_quoted([name])}, {_quoted([entry])})" for name, entries in PHRASES.items() for entry in entries)}) v(lexicon, entry))
+    SELECT lang, lexicon, entry, count(*) AS counts FROM g JOIN l USING (entry) GROUP BY 1, 2, 3""")
+def phrases_of_all_lists(spark, sf):
+    return phrases.phrase_counts(_docs(spark, sf), "text", PHRASES, ["lang"])
