@@ -113,6 +113,34 @@ def schedule(spark, shares: list[float], n_slots: int) -> DataFrame:
     )
 
 
+def whole_words(target: float) -> int:
+    """The words a target stands for: to the nearest one, halves down."""
+    return int(target + 0.499999)
+
+
+def _slots(spark, goals: list[float], block: int) -> DataFrame:
+    """The schedule with exactly the blocks that each source's target takes, the last one begun.
+
+    The points give a source its share to within a few slots; a source that has too few gets the
+    rest behind the last slot, one that has too many leaves some unused.
+    """
+    wanted = [-(-whole_words(g) // block) for g in goals]
+    n_slots = sum(wanted)
+    needs = rows_table(spark, enumerate(wanted), "source int, wanted bigint")
+    given = stage(schedule(spark, goals, n_slots).join(needs, "source").where(F.col("rank") < F.col("wanted")), "schedule")
+    counts = {r["source"]: r["n"] for r in given.groupBy("source").agg(F.count("*").alias("n")).collect()}
+    rest, last = [], n_slots
+    for source, want in enumerate(wanted):
+        missing = want - counts.get(source, 0)
+        if missing:
+            rest.append((source, want - missing, want - 1, last))
+            last += missing
+    late = rows_table(spark, rest, "source int, low bigint, high bigint, first bigint")
+    late = late.withColumn("rank", F.explode(F.sequence("low", "high")))
+    late = late.select((F.col("first") + F.col("rank") - F.col("low")).alias("slot"), "source", "rank")
+    return given.select("slot", "source", "rank").union(late)
+
+
 def mix(documents: DataFrame, weights=(1, 2, 3), repeats: int = REPEATS, seed: int = 11):
     """Mix the documents: (documents with size, source_size, target and taken; the segments).
 
@@ -121,7 +149,8 @@ def mix(documents: DataFrame, weights=(1, 2, 3), repeats: int = REPEATS, seed: i
     skipped (words of the document before them) and words. `taken` is their sum per document.
     A null or empty text has size 0 and is never taken. Repeated rows are rows of their own. The
     order of a tape is a hash of doc_id (then of the text), so reruns agree; rows that agree in both
-    have equal shares in any order. An empty table gives empty results.
+    have equal shares in any order. A source's last block is cut at its target, so every source's
+    taken words are its target to the nearest word, however small. An empty table gives empty results.
     """
     spark = documents.sparkSession
     measured = stage(
@@ -141,45 +170,41 @@ def mix(documents: DataFrame, weights=(1, 2, 3), repeats: int = REPEATS, seed: i
     goals = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], repeats)
     total = sum(sizes)
     block = max(1, min(BLOCK_WORDS, total // (SLOTS_PER_SOURCE * max(1, len(sizes)))))
-    n_slots = -(-total // block)
     # Spark knows the size of this table: few sources are broadcast, many are joined with skew split.
     sources = rows_table(
         spark,
-        [(r["name"], i, s, g) for i, (r, s, g) in enumerate(zip(stats, sizes, goals))],
-        "name string, source int, source_size bigint, target double",
+        [(r["name"], i, s, g, whole_words(g)) for i, (r, s, g) in enumerate(zip(stats, sizes, goals))],
+        "name string, source int, source_size bigint, target double, reach bigint",
     )
     known = measured.join(sources, measured["name"].eqNullSafe(sources["name"])).select(
-        "row_key", "doc_id", "source", "size", "source_size", "target", "key", "tie"
+        "row_key", "doc_id", "source", "size", "source_size", "target", "reach", "key", "tie"
     )
-    slots = stage(schedule(spark, goals, n_slots), "schedule")
-    filled = stage(slots.groupBy("source").agg((F.max("rank") + 1).alias("slots")), "slots-per-source")
+    slots = stage(_slots(spark, goals, block), "slots")
 
     parts = max(1, sum(r["n"] for r in stats) // ROWS_PER_PART, spark.sparkContext.defaultParallelism)
     order = ["source", "key", "tie", "row_key"]
     tape = running_sums(
         known.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
-        .select("row_key", "source", "size", "source_size"),
+        .select("row_key", "source", "size", "source_size", "reach"),
         "source",
         "size",
         "tape",
     )
-    # Only stretches that some slot of the source can reach.
-    reached = tape.join(filled, "source").where("size > 0")
+    # Only stretches before the words at which the source's target ends.
+    reached = tape.where("size > 0")
     start = F.col("pass_") * F.col("source_size") + F.col("before")
-    last = F.least(
-        F.floor((F.col("start") + F.col("size") - 1) / F.lit(block)), F.col("slots") - 1
-    ).cast("long")
+    last = F.floor((F.least(F.col("start") + F.col("size"), "reach") - 1) / F.lit(block)).cast("long")
     stretches = (
         reached.withColumn("pass_", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
         .withColumn("start", start)
+        .where("start < reach")
         .withColumn("block", F.floor(F.col("start") / F.lit(block)).cast("long"))
         .withColumn("last", last)
-        .where("block <= last")
         .withColumn("rank", F.explode(F.sequence("block", "last")))
     )
     begin = F.greatest("start", F.col("rank") * block)
-    end = F.least(F.col("start") + F.col("size"), (F.col("rank") + 1) * block)
+    end = F.least(F.col("start") + F.col("size"), (F.col("rank") + 1) * block, "reach")
     segments = stretches.join(slots, ["source", "rank"]).select(
         "slot",
         "row_key",
@@ -193,27 +218,21 @@ def mix(documents: DataFrame, weights=(1, 2, 3), repeats: int = REPEATS, seed: i
     return mixed, segments
 
 
-#: A source's blocks are taken in order, so what a document gives is what its stretch of the tape
-#: has in common with the source's first slots x block words, over all passes.
+#: A source's blocks are taken in order up to its target, so what a document gives is what its stretch
+#: of the tape has in common with the source's first words up to the target, over all passes.
 _SQL = f"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
     sha256('11:' || doc_id) AS key FROM documents),
 s AS (SELECT source, sum(size) AS ss, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM d GROUP BY 1),
-w AS (SELECT *, 1 + i % 3 AS w, {REPEATS} * ss AS cap, sum(ss) OVER () AS total, count(*) OVER () AS k FROM s),
+w AS (SELECT *, 1 + i % 3 AS w, {REPEATS} * ss AS cap, sum(ss) OVER () AS total FROM s),
 r AS (SELECT *, total - coalesce(sum(cap) OVER (ORDER BY cap / w, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
     sum(w) OVER (ORDER BY cap / w, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS wl FROM w),
 o AS (SELECT *, rest * w > cap * wl AS over FROM r),
 f AS (SELECT max(total) - coalesce(sum(cap) FILTER (over), 0) AS rest, sum(w) FILTER (NOT over) AS wl FROM o),
-t AS (SELECT source, i, ss, total, k, CASE WHEN over THEN cap::DOUBLE ELSE f.rest::DOUBLE * w / f.wl END AS target FROM o, f),
-c AS (SELECT *, sum(target) OVER (ORDER BY i) / sum(target) OVER () * 18446744073709551616.0 AS high,
-    greatest(1, least({BLOCK_WORDS}, total // ({SLOTS_PER_SOURCE} * k))) AS block FROM t),
-b AS (SELECT *, coalesce(lag(high) OVER (ORDER BY i), 0) AS low FROM c),
-slots AS (SELECT ((n + 1)::HUGEINT * {_GOLDEN} % 18446744073709551616)::DOUBLE AS point
-    FROM (SELECT unnest(range((SELECT max((total + block - 1) // block) FROM b)::BIGINT)) AS n)),
-n AS (SELECT i, count(*) AS slots FROM slots JOIN b ON point >= low AND point < high GROUP BY 1),
-p AS (SELECT d.doc_id, d.size, b.ss, b.target, coalesce(slots, 0) * block AS reach,
-    sum(size) OVER (PARTITION BY b.i ORDER BY key ROWS UNBOUNDED PRECEDING) - size AS before
-    FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source LEFT JOIN n ON n.i = b.i)
+t AS (SELECT source, i, ss, CASE WHEN over THEN cap::DOUBLE ELSE f.rest::DOUBLE * w / f.wl END AS target FROM o, f),
+p AS (SELECT d.doc_id, d.size, t.ss, t.target, floor(t.target + 0.499999)::BIGINT AS reach,
+    sum(size) OVER (PARTITION BY t.i ORDER BY key ROWS UNBOUNDED PRECEDING) - size AS before
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(ss AS BIGINT) AS source_size, target, CAST({
     " + ".join(f"greatest(0, least(before + size + {e} * ss, reach) - before - {e} * ss)" for e in range(REPEATS))
 } AS BIGINT) AS taken FROM p"""
