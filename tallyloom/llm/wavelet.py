@@ -228,7 +228,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        #: Strings that the tokenizer finds in a text before it cuts it.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         names = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
         # In a byte-level vocabulary every character of a token's name is one byte.
         self.lengths = np.array([len(n or "") for n in names], np.int64)
@@ -280,7 +281,24 @@ class Encoder:
         self.begins = np.concatenate((self.begins, self.begins[-1] + np.cumsum(counts)))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, each ended by END, and the number of each."""
+        """Ids of all texts in a row, each ended by END, and the number of each.
+
+        Texts that hold the string of an added token go to the tokenizer whole, as it cuts them there.
+        """
+        holds = np.zeros(len(texts), bool)
+        for token in self.added:
+            holds |= pc.fill_null(pc.match_substring(texts, token), False).to_numpy(zero_copy_only=False)
+        if not holds.any():
+            return self._pieces(texts)
+        flat, counts = self._pieces(pc.if_else(pa.array(holds), "", texts))
+        parts = np.split(flat, np.cumsum(counts)[:-1])
+        rows = np.flatnonzero(holds)
+        for row, ids in zip(rows.tolist(), self._ask(texts.take(pa.array(rows)).to_pylist())):
+            parts[row] = np.array([*ids, END], np.uint32)
+        return np.concatenate(parts), np.array([len(p) for p in parts])
+
+    def _pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts without added tokens, looked up piece by piece."""
         if len(self.raw) > self.KNOWN:
             self._forget()
         buffer, offsets = bw.spaced(texts)

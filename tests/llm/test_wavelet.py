@@ -36,9 +36,7 @@ def test_shard_lookups(tokens, block):
 
 
 def plain():
-    found = tokenizers.Tokenizer.from_file(wm.tokenizer_path())
-    found.encode_special_tokens = True
-    return found
+    return tokenizers.Tokenizer.from_file(wm.tokenizer_path())
 
 
 TEXT = st.text(alphabet="ab'S \n\t\r\x0b\x1c\x85  é1_-.<|endoftext|>", max_size=60)
@@ -57,6 +55,14 @@ def check(encoder, texts):
     assert counts.tolist() == [len(e) for e in expected]
 
 
+@pytest.mark.parametrize("size", [1, 2, 5])
+def test_added_tokens_in_texts(size, prose):
+    word = "<|endoftext|>"
+    texts = [f"a {word} b", word, f"{word}{word}", None, "", "<|endof", "text|>", f" {word}\n", f"é{word}", prose(1, 30) + word, f"<|{word}|>"]
+    for a in range(0, len(texts), size):
+        check(ENCODERS[0], texts[a : a + size])
+
+
 ENCODERS = [wm.Encoder(wm.tokenizer_path())]
 ENCODERS[0].KNOWN = 3000
 
