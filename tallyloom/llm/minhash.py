@@ -33,8 +33,9 @@ GUARANTEED = CHUNKS * (ERRORS + 1) - 1
 #: Pairs that share a key but differ in more places are not read again: at similarity 0.8 the mean is
 #: 11.2 with a deviation of 3, and one pair in 50,000 has more.
 FAR = 24
-#: Sets of a key compared in one task; fuller keys are cut into blocks.
+#: Sets of a key, and their members, compared at a time; fuller keys are cut into blocks.
 BLOCK = 4096
+BLOCK_VALUES = 1 << 22
 MARK_BITS = 1 << 23
 
 _PART = 1024
@@ -137,14 +138,20 @@ def _wanted_sets(field):
     return rows
 
 
+def _overlap(x: np.ndarray, y: np.ndarray) -> bool:
+    """Two sorted sets reach the similarity."""
+    small, big = (x, y) if len(x) < len(y) else (y, x)
+    at = np.searchsorted(big, small)
+    common = np.count_nonzero(big[np.minimum(at, len(big) - 1)] == small)
+    return 100 * common >= ALIKE * (len(x) + len(y) - common)
+
+
 def _alike(batches):
     """The pairs whose sets reach the similarity."""
     for batch in batches:
         kept = []
         for x, y in zip(column(batch, "one").to_pylist(), column(batch, "two").to_pylist()):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            kept.append(100 * common >= ALIKE * (len(x) + len(y) - common))
+            kept.append(_overlap(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)))
         keep = pa.array(kept, pa.bool_())
         yield pa.RecordBatch.from_arrays(
             [column(batch, "a").filter(keep), column(batch, "b").filter(keep)], names=["a", "b"]
@@ -164,67 +171,105 @@ def _possible(a, b):
     return 100 * F.least(a, b) >= ALIKE * F.greatest(a, b)
 
 
-def _across(batches):
-    """Pairs of a block's askers and members in different classes that may be alike. Rows come sorted
-    by key, block and asks, members first."""
-    held: list[pa.RecordBatch] = []
-
-    def found(rows: pa.Table):
-        asks = rows["asks"].to_numpy()
-        node, root, size = (rows[c].to_numpy() for c in ("node", "root", "size"))
-        marks = _matrix(rows["signature"])
-        members, askers = np.flatnonzero(~asks), np.flatnonzero(asks)
-        for i in askers.tolist():
-            at = members[root[members] != root[i]]
-            low, high = np.minimum(size[at], size[i]), np.maximum(size[at], size[i])
+class _Block:
+    """Members of one block, and links from askers to them."""
+
+    def __init__(self):
+        self.parts, self.root, self.joined = [], None, {}
+
+    def add(self, rows: pa.RecordBatch):
+        self.parts.append(rows)
+
+    def ask(self, rows: pa.RecordBatch) -> list[tuple[int, int]]:
+        if not self.parts:
+            return []
+        if self.root is None:
+            names = ("root", "node", "size")
+            self.root, self.node, self.size = (np.concatenate([column(p, n).to_numpy() for p in self.parts]) for n in names)
+            self.marks = np.concatenate([_matrix(column(p, "signature")) for p in self.parts])
+            self.values = [v for p in self.parts for v in _sets(column(p, "values"))]
+        links, marks = [], _matrix(column(rows, "signature"))
+        asked = zip(*(column(rows, n).to_pylist() for n in ("node", "root", "size")), marks, _sets(column(rows, "values")))
+        for node, root, size, mark, values in asked:
+            while root in self.joined:
+                root = self.joined[root]
+            at = np.flatnonzero(self.root != root)
+            low, high = np.minimum(self.size[at], size), np.maximum(self.size[at], size)
             at = at[100 * low >= ALIKE * high]
-            at = at[(marks[at] != marks[i]).sum(axis=1) <= FAR]
-            if len(at):
-                ends = np.minimum(node[at], node[i]), np.maximum(node[at], node[i])
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in ends], names=["a", "b"])
+            far = (self.marks[at] != mark).sum(axis=1)
+            order = np.argsort(far, kind="stable")[: np.count_nonzero(far <= FAR)]
+            for j in at[order].tolist():
+                other = int(self.root[j])
+                if other != root and _overlap(values, self.values[j]):
+                    links.append((node, int(self.node[j])))
+                    self.root[self.root == other] = root
+                    self.joined[other] = root
+        return links
+
+
+def _sets(values: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(v.as_buffer(), np.uint64) for v in values]
 
+
+def _across(batches):
+    """Links that connect the classes of a block's askers and members. Rows come sorted by key, block
+    and asks: members are held, askers pass by. What is connected already is not compared again, so
+    there are fewer links than sets."""
+    at, block = None, _Block()
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, block = column(batch, "key").to_numpy(), column(batch, "block").to_numpy()
-        edges = (np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1).tolist()
-        if held:
-            last = held[-1]
-            if (column(last, "key")[0], column(last, "block")[0]) != (column(batch, "key")[0], column(batch, "block")[0]):
-                yield from found(pa.Table.from_batches(held))
-                held = []
-        edges = [0, *edges, batch.num_rows]
-        for a, b in zip(edges[:-2], edges[1:-1]):
-            held.append(batch.slice(a, b - a))
-            yield from found(pa.Table.from_batches(held))
-            held = []
-        held.append(batch.slice(edges[-2]))
-    if held:
-        yield from found(pa.Table.from_batches(held))
-
-
-def _pairs_across(live: DataFrame, roots: DataFrame, facts: DataFrame, block: int) -> DataFrame:
-    """Pairs that share a key and are in different classes. Under every key the largest class answers
-    and the others ask; a key with many sets is cut into blocks, and every block hears all who ask."""
+        where = np.stack([column(batch, n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("key", "block", "asks")])
+        edges = (np.flatnonzero((where[:, 1:] != where[:, :-1]).any(axis=0)) + 1).tolist()
+        links = []
+        for a, b in zip([0, *edges], [*edges, batch.num_rows]):
+            key, number, asks = where[:, a].tolist()
+            if at != (key, number):
+                at, block = (key, number), _Block()
+            if asks:
+                links += block.ask(batch.slice(a, b - a))
+            else:
+                block.add(batch.slice(a, b - a))
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.array(links).T], names=["a", "b"])
+
+
+def _links_across(live: DataFrame, roots: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """Links between sets that share a key and are in different classes. Under every key the largest
+    class answers and the others ask; a key with many sets is cut into blocks, and every block hears
+    all who ask. Keys with the same sets are compared once."""
     placed = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = stage(placed.select("key", "node", "root"), "placed")
+    placed = stage(placed.join(sets.select("node", "size"), "node").select("key", "node", "root", "size"), "placed")
     mixed = (
         placed.groupBy("key", "root")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n"), F.sum("size").alias("size"), *(F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"tag{i}") for i in (0, 1)))
         .groupBy("key")
-        .agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("classes"))
+        .agg(
+            F.max(F.struct("n", "root")).alias("main"),
+            F.sum("n").alias("n"),
+            F.sum("size").alias("size"),
+            F.count("*").alias("classes"),
+            *(F.bit_xor(f"tag{i}").alias(f"tag{i}") for i in (0, 1)),
+        )
         .where("classes > 1")
-        .select("key", F.col("main.root").alias("main"), F.ceil(F.col("n") / block).alias("blocks"))
+        .groupBy("tag0", "tag1", "n", "size")
+        .agg(F.min(F.struct("key", "main.root")).alias("one"))
+        .select(
+            "one.key",
+            F.col("one.root").alias("main"),
+            F.ceil(F.greatest(F.col("n") / block, F.col("size") / BLOCK_VALUES)).alias("blocks"),
+        )
     )
     rows = placed.join(stage(mixed, "mixed"), "key")
-    rows = stage(rows.join(facts, "node"), "mixed-rows")
-    same = ("key", "node", "root", "size", "signature")
-    home = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    members = rows.select(*same, home.alias("block"), F.lit(False).alias("asks"))
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    askers = rows.where("root <> main").select(*same, every.alias("block"), F.lit(True).alias("asks"))
-    met = members.unionByName(askers).repartition("key", "block").sortWithinPartitions("key", "block", "asks")
-    return met.mapInArrow(_across, "a long, b long").distinct()
+    home = F.array(F.pmod(F.xxhash64("node"), F.col("blocks")))
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    members = rows.select("key", "node", "root", F.explode(home).alias("block"), F.lit(False).alias("asks"))
+    askers = rows.where("root <> main").select(
+        "key", "node", "root", F.explode(every).alias("block"), F.lit(True).alias("asks")
+    )
+    met = members.unionByName(askers).join(sets, "node")
+    met = met.repartition("key", "block").sortWithinPartitions("key", "block", "asks")
+    return stage(met.mapInArrow(_across, "a long, b long"), "across")
 
 
 def near_duplicates(documents: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -271,10 +316,9 @@ def near_duplicates(documents: DataFrame, block: int = BLOCK) -> DataFrame:
     values = stage(values, "values")
 
     links = _links(pairs, values)
-    roots = components(links)
-    rest = stage(_pairs_across(live.select("key", "node"), roots, facts, block).join(pairs, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        roots = components(links.union(_links(rest, values)))
+    held = stage(values.join(facts, "node"), "held")
+    more = _links_across(live.select("key", "node"), components(links), held, block)
+    roots = components(links.union(more))
     rooted = different.select("node", "first.doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = stage(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
     placed = stage(rooted.join(least, "root").select("node", "component_id"), "classes")
