@@ -19,6 +19,8 @@ from tallyloom.session import stage, unique_path
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+#: Off: with it every state partition takes megabytes of disk before it holds a row.
+ALLOCATE_KEY = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 #: Input taken into one batch.
 BATCH_BYTES = str(64 << 30)
 
@@ -50,8 +52,10 @@ def _entries(spark: SparkSession, path: str, schema, digest, trigger: dict) -> D
         # A batch that is run again replaces its own folder.
         batch.write.mode("overwrite").parquet(f"{updates}/batch={number}")
 
-    previous = spark.conf.get(PROVIDER_KEY)
-    spark.conf.set(PROVIDER_KEY, STATE_STORE)
+    settings = {PROVIDER_KEY: STATE_STORE, ALLOCATE_KEY: "false"}
+    previous = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         run = (
             folded.writeStream.outputMode("update")
@@ -62,7 +66,11 @@ def _entries(spark: SparkSession, path: str, schema, digest, trigger: dict) -> D
         )
         run.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER_KEY, previous)
+        for key, value in previous.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     written = (
         "digest string, keep_id long, locator struct<file_path: string, row_index: long>, "
         "group_size long, batch long"
@@ -131,5 +139,6 @@ g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
 FROM d JOIN g USING (t)""")
 def op2_exact_dedup(spark, sf_dir):
-    # A pattern, as a file stream takes a folder or a pattern, and the table may be a single file.
-    return deduplicate(spark, f"{sf_dir}/documents.parquet*")
+    # A pattern, as a file stream takes a folder or a pattern, and the table may be a single file; it
+    # matches this name only.
+    return deduplicate(spark, f"{sf_dir}/documents.parque[t]")
