@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from tallyloom.llm import bytewords as bw
 from tallyloom.llm.base import column, query, table
 from tallyloom.llm.components import components
-from tallyloom.llm.nearcopies import shingles
 from tallyloom.session import stage
 
 SHINGLE = 2
@@ -51,6 +50,22 @@ _KEPT = [
 ]
 
 
+def shingles(texts: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
+    """Sorted hashes of the different runs of `shingle` words of each text, lower-cased; a shorter
+    text is one run, one without words has none."""
+    words = bw.split_words(texts, bw.SOLID, lower=True)
+    hashes = bw.hash_words(words)
+    rolled = bw.roll(hashes, shingle)
+    out = []
+    for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
+        n = b - a
+        if n >= shingle:
+            out.append(np.unique(rolled[a : b - shingle + 1]))
+        else:
+            out.append(bw.roll(hashes[a:b], n) if n else np.empty(0, np.uint64))
+    return out
+
+
 def set_hash(values: np.ndarray) -> np.uint64:
     """Hash of a set of 64-bit values."""
     with np.errstate(over="ignore"):
@@ -79,20 +94,25 @@ def index_keys(signatures: np.ndarray) -> np.ndarray:
     return out
 
 
-def _signatures(batches):
+SIGNED = "node long, size long, signature binary"
+
+
+def signatures(batch: pa.RecordBatch, shingle: int) -> dict[str, pa.Array]:
+    """node (hash of the set), size and signature of the set of each text."""
+    sets = shingles(column(batch, "text"), shingle)
+    nodes = np.array([set_hash(s) for s in sets], np.uint64)
+    return {
+        "node": pa.array(nodes.view(np.int64)),
+        "size": pa.array([len(s) for s in sets], pa.int64()),
+        "signature": pa.array([signature(s).tobytes() for s in sets], pa.binary()),
+    }
+
+
+def _signed_rows(batches):
     for batch in bw.chunks(batches):
-        sets = shingles(column(batch, "text"), SHINGLE)
-        nodes = np.array([set_hash(s) for s in sets], np.uint64)
-        yield pa.RecordBatch.from_arrays(
-            [
-                column(batch, "doc_id"),
-                column(batch, "mark"),
-                pa.array(nodes.view(np.int64)),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([signature(s).tobytes() for s in sets], pa.binary()),
-            ],
-            names=["doc_id", "mark", "node", "size", "signature"],
-        )
+        found = signatures(batch, SHINGLE)
+        kept = {name: column(batch, name) for name in ("doc_id", "mark")}
+        yield pa.RecordBatch.from_pydict(kept | found)
 
 
 def _matrix(signatures: pa.Array) -> np.ndarray:
@@ -119,7 +139,7 @@ def _mark_field(wanted: DataFrame):
     return wanted.sparkSession.sparkContext.broadcast(field.view(np.uint64))
 
 
-def _wanted_sets(field):
+def _wanted_sets(field, shingle: int):
     """Sets of the texts whose mark may be wanted, as sorted 64-bit hashes."""
 
     def rows(batches):
@@ -128,7 +148,7 @@ def _wanted_sets(field):
             on = field.value[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1) == 1
             batch = batch.filter(pa.array(on))
             for part in bw.chunks([batch]):
-                sets = shingles(column(part, "text"), SHINGLE)
+                sets = shingles(column(part, "text"), shingle)
                 nodes = np.array([set_hash(s) for s in sets], np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(nodes.view(np.int64)), pa.array([s.tobytes() for s in sets], pa.binary())],
@@ -272,29 +292,18 @@ def _links_across(live: DataFrame, roots: DataFrame, sets: DataFrame, block: int
     return stage(met.mapInArrow(_across, "a long, b long"), "across")
 
 
-def near_duplicates(documents: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Classes of documents connected by links: doc_id, n_shingles, component_id, kept.
+def marked(documents: DataFrame) -> DataFrame:
+    """The documents with `mark`, a hash of id and text by which texts are found again."""
+    return documents.withColumn("mark", F.xxhash64("doc_id", "text"))
 
-    Lower-cases A-Z. A text of one word is a set of one; a text without words or a null one has the
-    empty set, n_shingles 0, and is linked with nothing. component_id is the least doc_id of the
-    class (null if it has none), kept is true where doc_id equals it. Repeated rows are rows of their
-    own in one class, so rows that share the least doc_id are all kept. Equal sets are folded before
-    anything is compared; sets are told apart by 64-bit hashes, and so are their members. Reads only
-    doc_id and text, whatever other columns are called. Empty table: no rows.
+
+def linked_sets(texts: DataFrame, different: DataFrame, shingle: int, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) that connect all sets connected by pairs that share a key and reach the similarity.
+
+    `texts` are marked documents (mark, text), `different` has one row per set: node, mark of one of
+    its texts, size and signature.
     """
-    marked = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("mark"))
-    sets = stage(
-        marked.mapInArrow(_signatures, "doc_id long, mark long, node long, size long, signature binary"), "sets"
-    )
-    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "mark")
-    different = stage(
-        sets.where("size > 0")
-        .groupBy("node")
-        .agg(F.min(first).alias("first"), F.first("size").alias("size"), F.first("signature").alias("signature")),
-        "different",
-    )
     facts = different.select("node", "size", "signature")
-
     keyed = facts.mapInArrow(_index, "key long, node long")
     repeated = stage(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
     live = stage(keyed.join(repeated, "key"), "live")
@@ -308,18 +317,39 @@ def near_duplicates(documents: DataFrame, block: int = BLOCK) -> DataFrame:
     pairs = pairs.join(sizes[0], "a").join(sizes[1], "b").where(_possible(F.col("a_size"), F.col("b_size")))
     pairs = stage(pairs.select("a", "b"), "pairs")
 
-    wanted = stage(different.join(weights.select("node"), "node").select("first.mark", "node"), "wanted")
-    field = _mark_field(wanted)
-    found = marked.select("mark", "text").mapInArrow(_wanted_sets(field), "node long, values binary")
+    wanted = stage(different.join(weights.select("node"), "node").select("mark", "node"), "wanted")
+    found = texts.select("mark", "text").mapInArrow(_wanted_sets(_mark_field(wanted), shingle), "node long, values binary")
     # Repeated rows give one set several times: one of each stays.
     values = found.join(wanted.select("node"), "node").groupBy("node").agg(F.first("values").alias("values"))
     values = stage(values, "values")
 
     links = _links(pairs, values)
     held = stage(values.join(facts, "node"), "held")
-    more = _links_across(live.select("key", "node"), components(links), held, block)
-    roots = components(links.union(more))
-    rooted = different.select("node", "first.doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return links.union(_links_across(live.select("key", "node"), components(links), held, block))
+
+
+def near_duplicates(documents: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Classes of documents connected by links: doc_id, n_shingles, component_id, kept.
+
+    Lower-cases A-Z. A text of one word is a set of one; a text without words or a null one has the
+    empty set, n_shingles 0, and is linked with nothing. component_id is the least doc_id of the
+    class (null if it has none), kept is true where doc_id equals it. Repeated rows are rows of their
+    own in one class, so rows that share the least doc_id are all kept. Equal sets are folded before
+    anything is compared; sets are told apart by 64-bit hashes, and so are their members. Reads only
+    doc_id and text, whatever other columns are called. Empty table: no rows.
+    """
+    texts = marked(documents.select("doc_id", "text"))
+    sets = stage(texts.mapInArrow(_signed_rows, f"doc_id long, mark long, {SIGNED}"), "sets")
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "mark")
+    different = stage(
+        sets.where("size > 0")
+        .groupBy("node")
+        .agg(F.min(first).alias("first"), F.first("size").alias("size"), F.first("signature").alias("signature"))
+        .select("node", "first.doc_id", "first.mark", "size", "signature"),
+        "different",
+    )
+    roots = components(linked_sets(texts, different, SHINGLE, block))
+    rooted = different.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = stage(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
     placed = stage(rooted.join(least, "root").select("node", "component_id"), "classes")
     full = sets.where("size > 0").join(placed, "node").select("doc_id", "size", "component_id")

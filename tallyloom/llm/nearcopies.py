@@ -1,10 +1,10 @@
-"""Near copies by resemblance: MinHash finds candidate pairs, exact Jaccard similarity decides.
+"""Near copies by resemblance: texts whose sets of five-word runs reach a Jaccard similarity of 0.8.
 
-A text is the set of its runs of five words. Bands of minima deal the different sets to buckets; a
-bucket compares sketches, and every pair whose sketch leaves the threshold possible is read again
-and kept only if the sets' Jaccard similarity reaches it. A pair at 0.8 shares no band with a
-chance of (1 - 0.8^6)^20 = 0.002. Groups are connected by kept pairs, and by the pairs within the
-radius of the SimHash operator, whose links are taken as they are.
+Candidates and links are those of the MinHash operator, for longer runs: every pair that shares a key
+counts, however many sets do, and full sets decide. A pair at 0.8 shares no key with a chance of
+(1 - P)^8 < 0.002, P being that of at most one difference in seven places. Groups are connected by
+these links, and by the pairs within the radius of the SimHash operator, whose links are taken as
+they are.
 """
 
 from __future__ import annotations
@@ -15,164 +15,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import bytewords as bw
-from tallyloom.llm import simhash
+from tallyloom.llm import minhash, simhash
 from tallyloom.llm.base import column, extended, with_row_key
 from tallyloom.llm.components import components
 from tallyloom.session import stage
 
 SHINGLE = 5
-#: Least similarity of near copies, as a fraction.
-ALIKE = (4, 5)
-BANDS = 20
-BAND = 6
-#: Equal bytes of a sketch (of BANDS x BAND) from which a pair is read again; at similarity 0.8 the
-#: mean is 96 and four deviations below it are 78.
-POSSIBLE = 78
-#: Equal bytes from which a pair counts as connected within its bucket.
-CERTAIN = 108
-#: Less certain pairs read again per set and bucket, and sets of a bucket that one is compared with.
-DOUBTFUL = 8
-CROWD = 4096
-
-_PART = 1024  # set members hashed by all functions at a time
-
-_rng = np.random.default_rng(23)
-_FACTORS = _rng.integers(0, 1 << 31, BANDS * BAND, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_SHIFTS = _rng.integers(0, 1 << 32, BANDS * BAND, dtype=np.uint32)
 
 
 def shingles(texts: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
-    """Sorted hashes of the different runs of `shingle` words of each text, lower-cased; a shorter
-    text is one run, one without words has none."""
-    words = bw.split_words(texts, bw.SOLID, lower=True)
-    hashes = bw.hash_words(words)
-    rolled = bw.roll(hashes, shingle)
-    out = []
-    for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
-        n = b - a
-        if n >= shingle:
-            out.append(np.unique(rolled[a : b - shingle + 1]))
-        else:
-            out.append(bw.roll(hashes[a:b], n) if n else np.empty(0, np.uint64))
-    return out
-
-
-def _sketches(keys: list[str]):
-    """Set of each text as: node (hash of the set), its size, band keys and sketch; its fingerprint."""
-
-    def rows(batches):
-        for batch in bw.chunks(batches):
-            sets = shingles(column(batch, "text"))
-            nodes, bands, sketches = [], [], []
-            for values in sets:
-                with np.errstate(over="ignore"):
-                    total = bw.mix(values).sum(dtype=np.uint64) + np.uint64(len(values))
-                    nodes.append(bw.mix(np.array([total], np.uint64))[0])
-                    short = (values >> np.uint64(32)).astype(np.uint32)
-                    least = np.zeros(BANDS * BAND, np.uint32)
-                    if len(short):
-                        least = np.min(
-                            [
-                                (_FACTORS[:, None] * short[a : a + _PART] + _SHIFTS[:, None]).min(axis=1)
-                                for a in range(0, len(short), _PART)
-                            ],
-                            axis=0,
-                        )
-                    folded = np.zeros(BANDS, np.uint64)
-                    for column_ in least.reshape(BANDS, BAND).T.astype(np.uint64):
-                        folded = bw.mix(folded * np.uint64(31) + column_ + np.uint64(1))
-                bands.append(folded)
-                sketches.append(bw.mix(least.astype(np.uint64)).astype(np.uint8).tobytes())
-            prints = [simhash.fingerprint(text) for text in column(batch, "text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(column(batch, k) for k in keys),
-                    pa.array(np.array(nodes, np.uint64).view(np.int64)),
-                    pa.array(np.array(prints, np.uint64).view(np.int64)),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([b.view(np.int64).tolist() for b in bands], pa.list_(pa.int64())),
-                    pa.array(sketches, pa.binary()),
-                ],
-                names=[*keys, "node", "fingerprint", "size", "bands", "sketch"],
-            )
-
-    return rows
-
+    return minhash.shingles(texts, shingle)
 
-def _candidates(nodes: np.ndarray, sizes: np.ndarray, sketches: np.ndarray):
-    """Pairs of a bucket to read again."""
-    n = len(nodes)
-    label, doubtful = np.arange(n), np.zeros(n, np.int64)
-    low, high = ALIKE
-    left, right = [], []
-    for d in range(1, min(n, CROWD + 1)):
-        a = np.flatnonzero(label[: n - d] != label[d:])
-        if not len(a):
-            if (label == label[0]).all():
-                break
-            continue
-        small, big = np.minimum(sizes[a], sizes[a + d]), np.maximum(sizes[a], sizes[a + d])
-        a = a[small * high >= big * low]
-        equal = (sketches[a] == sketches[a + d]).sum(axis=1)
-        sure = equal >= CERTAIN
-        take = sure | ((equal >= POSSIBLE) & (np.minimum(doubtful[a], doubtful[a + d]) < DOUBTFUL))
-        doubtful += np.bincount(a[take & ~sure], minlength=n) + np.bincount(a[take & ~sure] + d, minlength=n)
-        left.append(nodes[a[take]])
-        right.append(nodes[a[take] + d])
-        x, y = label[a[sure]], label[a[sure] + d]
-        if len(x):
-            np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
-            while not np.array_equal(label, jumped := label[label]):
-                label = jumped
-    if not left:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(left), np.concatenate(right)
 
-
-def _buckets(batches):
-    """Candidate pairs of a partition sorted by (band, key, node)."""
-    held = None
-
-    def found(nodes, sizes, sketches):
-        a, b = _candidates(nodes, sizes, sketches)
-        if len(a):
-            pair = np.minimum(a, b), np.maximum(a, b)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in pair], names=["a", "b"])
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        bytes_ = b"".join(column(batch, "sketch").to_pylist())
-        now = (
-            *(column(batch, k).to_numpy() for k in ("band", "key", "node", "size")),
-            np.frombuffer(bytes_, np.uint8).reshape(-1, BANDS * BAND),
-        )
-        if held is not None:
-            now = tuple(np.concatenate(x) for x in zip(held, now))
-        band, key = now[:2]
-        edges = np.flatnonzero((band[1:] != band[:-1]) | (key[1:] != key[:-1])) + 1
-        edges = [0, *edges.tolist()]
-        for a, b in zip(edges, edges[1:]):
-            if b - a > 1:
-                yield from found(*(x[a:b] for x in now[2:]))
-        held = tuple(x[edges[-1] :] for x in now)
-    if held is not None and len(held[0]) > 1:
-        yield from found(*held[2:])
-
-
-def _alike(batches):
-    """The pairs whose sets reach the similarity."""
-    low, high = ALIKE
-    for batch in batches:
-        a, b = shingles(column(batch, "one")), shingles(column(batch, "two"))
-        kept = []
-        for x, y in zip(a, b):
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            kept.append(common * high >= (len(x) + len(y) - common) * low)
-        keep = pa.array(kept, pa.bool_())
-        yield pa.RecordBatch.from_arrays(
-            [column(batch, "a").filter(keep), column(batch, "b").filter(keep)], names=["a", "b"]
-        )
+def _rows(batches):
+    for batch in bw.chunks(batches):
+        kept = {name: column(batch, name) for name in ("row_key", "doc_id", "mark")}
+        prints = [simhash.fingerprint(text) for text in column(batch, "text").to_pylist()]
+        prints = pa.array(np.array(prints, np.uint64).view(np.int64))
+        yield pa.RecordBatch.from_pydict(kept | {"fingerprint": prints} | minhash.signatures(batch, SHINGLE))
 
 
 def _print_edges(sets: DataFrame) -> DataFrame:
@@ -188,48 +48,29 @@ def _print_edges(sets: DataFrame) -> DataFrame:
     return same.union(far)
 
 
-def near_copies(documents: DataFrame) -> DataFrame:
+def near_copies(documents: DataFrame, block: int = minhash.BLOCK) -> DataFrame:
     """Group the rows connected by pairs of texts with Jaccard similarity of at least 0.8, or with
     fingerprints within the SimHash operator's radius.
 
     Gives row_key, doc_id, component_id and `keeper` as simhash.near_duplicates does. Texts without
     words are copies of each other. Equal sets are folded before anything is compared.
     """
-    keyed = with_row_key(documents.select("doc_id", "text"))
-    sets = stage(
-        keyed.mapInArrow(
-            _sketches(["row_key", "doc_id", "text"]),
-            extended(keyed.select("row_key", "doc_id", "text").schema,
-                     "node long, fingerprint long, size long, bands array<long>, sketch binary"),
-        ),
-        "sets",
-    )
-    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_key")
+    texts = minhash.marked(with_row_key(documents.select("doc_id", "text")))
+    schema = extended(texts.select("row_key", "doc_id", "mark").schema, f"fingerprint long, {minhash.SIGNED}")
+    sets = stage(texts.mapInArrow(_rows, schema), "sets")
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_key", "mark")
     by_set = stage(
         sets.groupBy("node").agg(F.min(first).alias("first"), F.first("size").alias("size"),
-                                 F.first("bands").alias("bands"), F.first("sketch").alias("sketch")),
+                                 F.first("signature").alias("signature")),
         "different",
     )
-    banded = by_set.where("size > 0").select("node", "size", "sketch", F.posexplode("bands").alias("band", "key"))
-    pairs = (
-        banded.select("band", "key", "node", "size", "sketch")
-        .repartition("band", "key")
-        .sortWithinPartitions("band", "key", "node")
-        .mapInArrow(_buckets, "a long, b long")
-    )
-    pairs = stage(pairs.distinct(), "pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    read = by_set.select("node", "first.row_key").join(ends, "node", "left_semi")
-    texts = stage(sets.select("row_key", "text").join(read, "row_key").select("node", "text"), "texts")
-    one = texts.select(F.col("node").alias("a"), F.col("text").alias("one"))
-    two = texts.select(F.col("node").alias("b"), F.col("text").alias("two"))
-    left = stage(pairs.join(one, "a"), "left")
-    edges = left.join(two, "b").select("a", "b", "one", "two").mapInArrow(_alike, "a long, b long")
-    roots = components(edges.union(_print_edges(sets)))
+    different = by_set.where("size > 0").select("node", "first.mark", "size", "signature")
+    links = minhash.linked_sets(texts, different, SHINGLE, block)
+    roots = components(links.union(_print_edges(sets)))
     rooted = by_set.select("node", "first").join(roots, "node", "left").select(
         "node", "first", F.coalesce("root", "node").alias("root")
     )
-    groups = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    groups = stage(rooted.groupBy("root").agg(F.min("first").alias("least")), "roots")
     placed = stage(rooted.join(groups, "root").select("node", "least"), "groups")
     return sets.select("row_key", "doc_id", "node").join(placed, "node").select(
         "row_key",

@@ -49,6 +49,22 @@ def test_groups_are_those_of_brute_force(docs, edited):
     assert 10 < sum(i != r for i, r in goal.items()) < 40
 
 
+@pytest.mark.parametrize("block", [16, 4096])
+def test_crowded_keys_lose_no_pair(docs, block):
+    """Many copies of one text, each changed elsewhere: most are links of it and not of each other."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 200):
+        words = list(base)
+        for at in rng.sample(range(120), rng.choice((1, 2, 3, 5, 7))):
+            words[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(words)))
+    found = {r.doc_id: r.component_id for r in nc.near_copies(docs(rows), block).collect()}
+    goal = expected(rows)
+    assert found == goal and len(set(goal.values())) > 1
+
+
 def test_stage_drops_copies_beyond_three_bits(spark, docs, edited):
     goal = expected(edited)
     kept = {r.doc_id for r in pipeline.drop_near_duplicates(spark, docs(edited), "").collect()}
