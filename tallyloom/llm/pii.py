@@ -2,7 +2,8 @@
 
 The field labels tokens (runs of letters or digits, single signs) by their word shapes and those of
 their neighbours. It is trained from the small labelled table below and decoded by Viterbi for many
-sequences at once. Its spans count only if they do not touch a pattern's span and hold what their
+sequences at once. A text is cut at tokens where O leads by more than the pair weights can make up, so
+that the best path of the whole text surely passes O there; the parts between are decoded. Its spans count only if they do not touch a pattern's span and hold what their
 kind must hold, so it adds loosely written addresses and numbers and leaves other digits alone.
 """
 
@@ -133,6 +134,7 @@ LABELLED = (
 
 _MARK = re.compile(r"<(\w+):([^>]*)>")
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\s]")
+_PIECE = re.compile(r"[^\W\d_]+|\d+|\s+|[^\s]")
 _LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 #: Every span that counts has one of these: @ or at in an address, digits in the other kinds.
 _NEEDED = re.compile(r"[0-9]|" + _AT.pattern)
@@ -147,6 +149,22 @@ def _tokens(text: str, start: int = 0, end: int | None = None) -> list[tuple[int
     return [m.span() for m in _TOKEN.finditer(text, start, len(text) if end is None else end)]
 
 
+def _pieces(text: str, step: int = 1 << 20):
+    """Lists of pieces (tokens and runs of white space) that make up the text, for a part at a time."""
+    begin, size = 0, step
+    while True:
+        pieces = _PIECE.findall(text, begin, begin + size)
+        if begin + size >= len(text):
+            yield pieces
+            return
+        if len(pieces) == 1:  # goes on beyond the part, maybe
+            size *= 2
+            continue
+        whole = begin + size - len(pieces.pop())
+        yield pieces
+        begin, size = whole, step
+
+
 def _shape(piece: str) -> str:
     if piece[0].isdigit():
         return "9" * min(len(piece), 5)
@@ -334,42 +352,59 @@ class Scorer:
         self.field = field
         self.shapes = {name: i for i, name in enumerate(_PADS)}
         self.codes: dict[str, int] = {}
+        self._bound_pairs()
         self._clear()
 
+    def _bound_pairs(self):
+        """The most that pair weights can make up for a token's other label l instead of O.
+
+        A path with l is compared with the same path through O at this token; if the next label is
+        I, which may not follow O, it becomes B of its kind, after which the same labels may follow.
+        """
+        move, n = self.field.pairs + self.field.closed, len(_LABELS)
+        before = (move - move[:, :1]).max(axis=0)
+        outer = [j for j in range(n) if j == 0 or j % 2]
+        after = (move[:, outer] - move[:1, outer]).max(axis=1)
+        self.plain = before + after
+        self.within = np.full(n, -np.inf)
+        for label in range(1, n):
+            b, i = label - 1 + label % 2, label + label % 2
+            rest = max(0.0, (self.field.pairs[i] - self.field.pairs[b]).max())
+            self.within[label] = before[label] + move[label, i] - move[0, b] + rest
+
     def _clear(self):
         self.rows: dict[int, int] = {}
         self.emit = np.empty((0, len(_LABELS)))
+        self.sure = np.empty(0, bool)
+        self.lead = np.empty((0, len(KINDS)))
+        self.inner = np.empty((0, len(KINDS)))
 
     def code(self, piece: str) -> int:
+        """Number of a piece's shape, negative for white space."""
         found = self.codes.get(piece)
         if found is None:
-            found = self.shapes.setdefault(_shape(piece), len(self.shapes))
+            found = -1 if piece[0].isspace() else self.shapes.setdefault(_shape(piece), len(self.shapes))
             if len(self.codes) < REMEMBERED:
                 self.codes[piece] = found
         return found
 
     def places(self, text: str):
-        """Borders of the tokens, and the row of weights of each."""
-        starts, ends, codes = [], [], []
-        parts = []
-        code = self.code
-
-        def fold():
-            parts.append((np.array(starts, np.int64), np.array(ends, np.int64), np.array(codes, np.int64)))
-            starts.clear(), ends.clear(), codes.clear()
-
-        for m in _TOKEN.finditer(text):
-            a, b = m.span()
-            starts.append(a)
-            ends.append(b)
-            codes.append(code(m[0]))
-            if len(codes) == CELLS:
-                fold()
-        fold()
+        """Borders of the tokens, the row of weights of each, and which of them a span may need."""
+        parts, begin = [], 0
+        for pieces in _pieces(text):
+            codes = list(map(self.codes.get, pieces))
+            if None in codes:
+                codes = [self.code(p) if c is None else c for p, c in zip(pieces, codes)]
+            shape = np.array(codes, np.int64)
+            ends = begin + np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+            starts = np.concatenate(([begin], ends[:-1]))
+            begin = int(ends[-1])
+            token = shape >= 0
+            parts.append((starts[token], ends[token], shape[token]))
         start, end, shape = (np.concatenate(x) for x in zip(*parts))
         n = len(shape)
         if not n:
-            return start, end, shape
+            return start, end, shape, shape > 0
         padded = np.concatenate(([0, 1], shape, [2, 3]))
         glued = np.ones(n + 4, np.int64)
         glued[3 : n + 2] = start[1:] != end[:-1]
@@ -379,7 +414,32 @@ class Scorer:
         for k in range(1, 5):
             around = around * 2 + glued[k : n + k]
         different, inverse = np.unique(around, return_inverse=True)
-        return start, end, self._numbered(different)[inverse]
+        needed = np.array([name[0] == "9" or name in ("@", "at") for name in self.shapes])
+        return start, end, self._numbered(different)[inverse], needed[shape]
+
+    def segments(self, rows: np.ndarray, needed: np.ndarray) -> list[tuple[int, int]]:
+        """Parts of a sequence that may hold a span that counts, each between two tokens that the
+        best path surely labels O (they are part of it), or to the sequence's end."""
+        sure = self.sure[rows]
+        sure[:-1] &= (self.lead[rows[:-1]] > self.inner[rows[1:]]).all(axis=1)
+        sure[0] = sure[-1] = False
+        open_ = np.flatnonzero(~sure)
+        borders = np.flatnonzero(np.diff(open_) > 1)
+        begins = open_[np.concatenate(([0], borders + 1))]
+        ends = open_[np.concatenate((borders, [len(open_) - 1]))] + 1
+        seen = np.concatenate(([0], np.cumsum(needed)))
+        use = seen[ends] > seen[begins]
+        begins, ends = np.maximum(begins[use] - 1, 0), np.minimum(ends[use] + 1, len(rows))
+        return list(zip(begins.tolist(), ends.tolist()))
+
+    def weights(self, rows: np.ndarray, first: bool, last: bool) -> np.ndarray:
+        """Weights of tokens; a first or last one that is surely O admits no other label."""
+        emit = self.emit[rows]
+        if first:
+            emit[0, 1:] = -1e9
+        if last:
+            emit[-1, 1:] = -1e9
+        return emit
 
     def _numbered(self, around: np.ndarray) -> np.ndarray:
         new = [x for x in around.tolist() if x not in self.rows]
@@ -392,7 +452,12 @@ class Scorer:
                 p = [names[x >> 4 + 6 * (4 - k) & 63] for k in range(5)]
                 ids.append(_named(p, gaps))
             emit = self.field.weights[self.field.ids(ids)].sum(axis=1)
+            lead = emit[:, :1] - emit
+            margin = lead - self.within
             self.emit = np.concatenate((self.emit, emit))
+            self.sure = np.concatenate((self.sure, (lead > self.plain + 1e-6)[:, 1:].all(axis=1)))
+            self.lead = np.concatenate((self.lead, np.minimum(margin[:, 1::2], margin[:, 2::2])))
+            self.inner = np.concatenate((self.inner, emit[:, 2::2] - emit[:, 1::2] + 1e-6))
         return np.array([self.rows[x] for x in around.tolist()], np.int64)
 
 
@@ -411,8 +476,11 @@ def find_spans(texts: list[str | None], field: Field) -> list[tuple[dict, dict]]
     waiting, held = [], 0
     for i, text in enumerate(texts):
         if _NEEDED.search(text or ""):
-            waiting.append((i, *scorer.places(text)))
-            held += len(waiting[-1][3])
+            start, end, rows, needed = scorer.places(text)
+            for a, b in scorer.segments(rows, needed):
+                emit = (rows[a:b].copy(), a > 0, b < len(rows))
+                waiting.append((i, start[a:b].copy(), end[a:b].copy(), emit))
+                held += b - a
         if held > 4 * CELLS or i == len(texts) - 1:
             _decode(waiting, scorer, texts, known, added)
             waiting, held = [], 0
@@ -420,20 +488,20 @@ def find_spans(texts: list[str | None], field: Field) -> list[tuple[dict, dict]]
 
 
 def _decode(waiting, scorer: Scorer, texts, known, added) -> None:
-    """Add the spans of the field in whole texts (index, borders of tokens, their rows of weights)."""
-    found = scorer.field.paths(
-        [len(w[3]) for w in waiting],
-        lambda i, a, b: scorer.emit[waiting[i][3][a:b]],
-    )
+    """Add the spans of the field in segments of texts (index, borders of tokens, rows of weights)."""
+
+    def emitted(k, a, b):
+        rows, first, last = waiting[k][3]
+        return scorer.weights(rows[a:b], first and a == 0, last and b == len(rows))
+
+    found = scorer.field.paths([len(w[1]) for w in waiting], emitted)
     taken = {i: sorted(s for spans in known[i].values() for s in spans) for i in {w[0] for w in waiting}}
     for (i, start, end, _), labels in zip(waiting, found):
-        t = 0
-        while t < len(labels):
-            if labels[t] == 0:
-                t += 1
+        spots, t = np.flatnonzero(labels).tolist(), -1
+        for begin in spots:
+            if begin < t:
                 continue
-            begin, kind = t, KINDS[(labels[t] - 1) // 2]
-            t += 1
+            kind, t = KINDS[(labels[begin] - 1) // 2], begin + 1
             while t < len(labels) and labels[t] and labels[t] % 2 == 0:
                 t += 1
             a, b = int(start[begin]), int(end[t - 1])
