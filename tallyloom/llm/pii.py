@@ -2,8 +2,8 @@
 
 The field labels tokens (runs of letters or digits, single signs) by their word shapes and those of
 their neighbours. It is trained from the small labelled table below and decoded by Viterbi for many
-sequences at once. A text is cut at tokens where O leads by more than the pair weights can make up, so
-that the best path of the whole text surely passes O there; the parts between are decoded. Its spans count only if they do not touch a pattern's span and hold what their
+sequences at once. Tokens over which no span can weigh as much as O are surely O on the best path of
+the whole text, so the text is cut there and only the parts between are decoded. Its spans count only if they do not touch a pattern's span and hold what their
 kind must hold, so it adds loosely written addresses and numbers and leaves other digits alone.
 """
 
@@ -356,28 +356,19 @@ class Scorer:
         self._clear()
 
     def _bound_pairs(self):
-        """The most that pair weights can make up for a token's other label l instead of O.
-
-        A path with l is compared with the same path through O at this token; if the next label is
-        I, which may not follow O, it becomes B of its kind, after which the same labels may follow.
-        """
-        move, n = self.field.pairs + self.field.closed, len(_LABELS)
-        before = (move - move[:, :1]).max(axis=0)
-        outer = [j for j in range(n) if j == 0 or j % 2]
-        after = (move[:, outer] - move[:1, outer]).max(axis=1)
-        self.plain = before + after
-        self.within = np.full(n, -np.inf)
-        for label in range(1, n):
-            b, i = label - 1 + label % 2, label + label % 2
-            rest = max(0.0, (self.field.pairs[i] - self.field.pairs[b]).max())
-            self.within[label] = before[label] + move[label, i] - move[0, b] + rest
+        """The most that pair weights can give to a span, compared with O throughout, per kind: on
+        entering it, for each further token, and on leaving it."""
+        pairs, move = self.field.pairs, self.field.pairs + self.field.closed
+        b, i = np.arange(1, len(_LABELS), 2), np.arange(2, len(_LABELS), 2)
+        outer = np.concatenate(([0], b))
+        self.enter = (move - move[:, :1]).max(axis=0)[b]
+        self.more = np.maximum(pairs[b, i], pairs[i, i]) - pairs[0, 0]
+        leave = (move[:, outer] - move[:1, outer]).max(axis=1).clip(0)
+        self.leave = np.maximum(leave[b], leave[i])
 
     def _clear(self):
         self.rows: dict[int, int] = {}
-        self.emit = np.empty((0, len(_LABELS)))
-        self.sure = np.empty(0, bool)
-        self.lead = np.empty((0, len(KINDS)))
-        self.inner = np.empty((0, len(KINDS)))
+        self.emit = self.gain = np.empty((0, len(_LABELS)))
 
     def code(self, piece: str) -> int:
         """Number of a piece's shape, negative for white space."""
@@ -419,17 +410,31 @@ class Scorer:
 
     def segments(self, rows: np.ndarray, needed: np.ndarray) -> list[tuple[int, int]]:
         """Parts of a sequence that may hold a span that counts, each between two tokens that the
-        best path surely labels O (they are part of it), or to the sequence's end."""
-        sure = self.sure[rows]
-        sure[:-1] &= (self.lead[rows[:-1]] > self.inner[rows[1:]]).all(axis=1)
-        sure[0] = sure[-1] = False
-        open_ = np.flatnonzero(~sure)
+        best path surely labels O (they are part of it), or to the sequence's end.
+
+        A token is surely O if, for each kind, even the best span over it, wherever it begins and
+        ends, weighs less than O in its place. The best begin and end are found for all tokens at
+        once by running maxima over running sums.
+        """
+        n = len(rows)
+        gain = self.gain
+        maybe = np.zeros(n, bool)
+        for kind in range(len(KINDS)):
+            sums = np.cumsum((gain[:, 2 + 2 * kind] + self.more[kind])[rows])
+            begin = (gain[:, 1 + 2 * kind] + self.enter[kind])[rows]
+            begin[0] += max(0.0, -self.enter[kind])
+            best_begin = np.maximum.accumulate(begin - sums)
+            best_end = np.maximum.accumulate(sums[::-1])[::-1]
+            maybe |= best_begin + best_end + self.leave[kind] > -1e-4
+        open_ = np.flatnonzero(maybe)
+        if not len(open_):
+            return []
         borders = np.flatnonzero(np.diff(open_) > 1)
         begins = open_[np.concatenate(([0], borders + 1))]
         ends = open_[np.concatenate((borders, [len(open_) - 1]))] + 1
         seen = np.concatenate(([0], np.cumsum(needed)))
         use = seen[ends] > seen[begins]
-        begins, ends = np.maximum(begins[use] - 1, 0), np.minimum(ends[use] + 1, len(rows))
+        begins, ends = np.maximum(begins[use] - 1, 0), np.minimum(ends[use] + 1, n)
         return list(zip(begins.tolist(), ends.tolist()))
 
     def weights(self, rows: np.ndarray, first: bool, last: bool) -> np.ndarray:
@@ -452,12 +457,8 @@ class Scorer:
                 p = [names[x >> 4 + 6 * (4 - k) & 63] for k in range(5)]
                 ids.append(_named(p, gaps))
             emit = self.field.weights[self.field.ids(ids)].sum(axis=1)
-            lead = emit[:, :1] - emit
-            margin = lead - self.within
             self.emit = np.concatenate((self.emit, emit))
-            self.sure = np.concatenate((self.sure, (lead > self.plain + 1e-6)[:, 1:].all(axis=1)))
-            self.lead = np.concatenate((self.lead, np.minimum(margin[:, 1::2], margin[:, 2::2])))
-            self.inner = np.concatenate((self.inner, emit[:, 2::2] - emit[:, 1::2] + 1e-6))
+            self.gain = self.emit - self.emit[:, :1]
         return np.array([self.rows[x] for x in around.tolist()], np.int64)
 
 
