@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -49,9 +50,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_row_key(df: DataFrame, name: str = "row_key") -> DataFrame:
-    """Number the rows, so that repeated rows stay apart. The input must give the same rows in the
-    same partitions when read again, as files do."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """Number the rows, so that repeated rows stay apart and a row has the same key in every job.
+
+    Rows read from Parquet files are known by file (a hash of its path) and place in the file, however
+    the scan is split and whatever executors there are. Rows from elsewhere are numbered by partition
+    and place; these must give the same rows in the same partitions when computed again.
+    """
+    try:
+        file = df.metadataColumn("_metadata")
+        key = F.struct(F.xxhash64(file["file_path"]).alias("file"), file["row_index"].alias("row"))
+        return df.withColumn(name, key)
+    except AnalysisException:
+        return df.withColumn(name, F.monotonically_increasing_id())
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -155,7 +155,7 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, kmer: int = KMER)
     keyed = with_row_key(documents.select("doc_id", "text"))
     found = keyed.select("row_key", "text").mapInArrow(
         _occurrences(window, kmer),
-        "edge long, path long, row_key long, first long, windows int",
+        f"edge long, path long, row_key {keyed.schema['row_key'].dataType.simpleString()}, first long, windows int",
     )
     # Sides of joins that come out of an aggregation are staged: Spark splits the rows of a hot key
     # only if nothing else is computed in the joining stage.

@@ -179,7 +179,7 @@ def contamination(
     hits = spans.select(
         "*",
         F.coalesce("span.size", F.lit(0)).alias("size"),
-        F.coalesce("span.gram", "row_key").alias("gram"),
+        F.coalesce("span.gram", F.xxhash64("row_key")).alias("gram"),
     ).join(by_gram, ["size", "gram"], "left")
     opened = hits.select(
         "row_key",
