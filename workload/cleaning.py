@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import cleaning as clean
 from tallyloom.functions.dates import in_season, in_years
 from tallyloom.operators.conform import conform, convert_currency, name_list, overlap, unmatched
-from tallyloom.operators.links import extract_links
+from tallyloom.operators.links import extract_links, resolved_links
 from tallyloom.operators.profile import profile
 from tallyloom.operators.shaping import (
     clean_columns,
@@ -20,6 +20,7 @@ from tallyloom.operators.shaping import (
     unmapped_labels,
 )
 from tallyloom.operators.star import DimSpec, IndicatorSpec, build_dim, build_indicator_fact
+from tallyloom.operators.suggest import suggest_entries
 from tallyloom.sources.tables import rows_table
 from workload.registry import query, rounded, table
 
@@ -398,3 +399,27 @@ def page_links(spark, sf):
 @query(f"SELECT * FROM ({LINKS}) WHERE contains(href, '/the')")
 def page_links_by_part(spark, sf):
     return extract_links(table(spark, sf, "pages"), "page_id", "html", "/the")
+
+
+@query(f"""SELECT page_id, CAST(i - 1 AS BIGINT) AS place, hrefs[i] AS href, regexp_extract(url, '^[a-z]+://[^/]+') || hrefs[i] AS link
+    FROM (SELECT page_id, url, hrefs, unnest(range(1, len(hrefs) + 1)) AS i FROM (SELECT page_id, url, regexp_extract_all(
+    regexp_replace(html, '<!--.*?-->', '', 'gs'), '(?i)<a\\s[^>]*?href\\s*=\\s*["'']([^"'']*)["'']', 1) AS hrefs FROM pages))""")
+def page_links_resolved(spark, sf):
+    """Absolute link targets in page order. The tables' links are all rooted paths, so SQL can tell."""
+    found = resolved_links(table(spark, sf, "pages"), "page_id", "html", "url")
+    return found.withColumn("place", F.col("place").cast("bigint"))
+
+
+# DuckDB counts edits in bytes: signs beyond ASCII, which no entry has, stand as one byte each.
+@query(rf"""WITH names AS (SELECT DISTINCT substr(href, 2) AS name FROM ({LINKS}) WHERE length(href) > 1),
+    entries AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS entry FROM benchmark),
+    near AS (SELECT name, entry, levenshtein(regexp_replace(lower(name), '[^\x00-\x7F]', '#', 'g'), lower(entry)) AS edits FROM names, entries)
+    SELECT name, entry, CAST(edits AS BIGINT) AS edits, row_number() OVER (PARTITION BY name ORDER BY edits, entry) AS rank
+    FROM near WHERE edits <= 1""")
+def suggested_entries(spark, sf):
+    """For each word that pages link to the words of the benchmark at most one edit apart."""
+    links = extract_links(table(spark, sf, "pages"), "page_id", "html").where(F.length("href") > 1)
+    names = links.select(F.expr("substr(href, 2)").alias("name"))
+    words = F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias("entry")
+    found = suggest_entries(names, "name", table(spark, sf, "benchmark").select(words), "entry", 1)
+    return found.withColumns({x: F.col(x).cast("bigint") for x in ("edits", "rank")})

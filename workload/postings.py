@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from tallyloom.functions.dates import in_dates, month_key, padded_month
 from tallyloom.operators import activity
 from tallyloom.operators.series import align_series, period_totals, series_correlation
+from tallyloom.operators.sketches import day_sketches, merged_sketches, read_sketches
+from tallyloom.session import stage
 from workload.registry import query, rounded, table
 
 TYPES = ["signup", "purchase", "view", "click", "error"]
@@ -257,3 +259,29 @@ def mean_post_length(spark, sf):
     return rounded(
         activity.mean_length(table(spark, sf, "documents"), "lang", "text"), ["avg_length"]
     )
+
+
+@query("""SELECT event_type, count(*) AS n, true AS authors_within, true AS quantiles_within FROM events
+    WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-20' GROUP BY 1""")
+def merged_day_sketches(spark, sf):
+    """Distinct users and quartiles of a range of days, from stored sketches of the days.
+
+    Held against the exact ones: users within three times the stated deviation of 0.016, quartiles
+    within three times the stated rank error of 0.013.
+    """
+    first, last = dt.date(2024, 1, 3), dt.date(2024, 1, 20)
+    events, ranks = _events(spark, sf), (0.25, 0.5, 0.75)
+    stored = stage(day_sketches(events, ["event_type"], "ts", "user_id", "value"), "day-sketches")
+    rough = read_sketches(merged_sketches(stored, ["event_type"], first, last), ranks)
+    days = events.where(in_dates(F.col("ts"), first, last))
+    joined = days.join(rough, "event_type")
+    value, known = F.col("value"), F.count("value")
+    within = F.lit(True)
+    for i, rank in enumerate(ranks):
+        cut = F.col("quantiles")[i]
+        below, at = F.count_if(value < cut), F.count_if(value <= cut)
+        within = within & (below <= (rank + 0.04) * known + 1) & (at >= (rank - 0.04) * known - 1)
+    exact = F.countDistinct("user_id")
+    return joined.groupBy("event_type", "n", "unique_authors").agg(
+        (F.abs(F.col("unique_authors") - exact) <= 0.05 * exact + 1).alias("authors_within"), within.alias("quantiles_within")
+    ).drop("unique_authors")
