@@ -4,7 +4,8 @@ The stream folds documents by the digest of their text. Its state, one entry per
 disk (RocksDB) and never expires; an entry holds the digest, the stable identifier (the largest
 doc_id so far), the locator of the content (file and row of one of the texts) and the count. Copies
 within a batch are folded before they are shuffled, so a hot text reaches its entry as one row per
-task. Digests are only a first hit: full texts are compared by grouping on the bytes themselves.
+task. Digests are only a first hit: the texts of a digest met more than once are compared, byte by
+byte, with the text at the locator of its entry. A bit field of fixed size keeps other texts at home.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 #: Off: with it every state partition takes megabytes of disk before it holds a row.
 ALLOCATE_KEY = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
+#: Bits of the field of digests met more than once, which is broadcast (16 MiB). A full one lets more
+#: texts through to the comparison, it never holds back a text that has to be compared.
+FIELD_BITS = 1 << 27
 #: Input taken into one batch.
 BATCH_BYTES = str(64 << 30)
 
@@ -29,6 +33,40 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
+def _locator(df: DataFrame) -> Column:
+    place = df.metadataColumn("_metadata")
+    return F.struct(place["file_path"].alias("file_path"), place["row_index"].alias("row_index"))
+
+
+def _maybe_hit(keyed: DataFrame, hits: DataFrame) -> DataFrame:
+    """The rows of keyed whose digest has its bit set in the field of the hits."""
+    bit = F.pmod(F.xxhash64("digest"), F.lit(FIELD_BITS)) + 1
+    field = hits.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("field")
+    )
+    place = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("field", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    mask = F.expr("shiftleft(1, CAST(place % 8 AS INT))")
+    return (
+        keyed.withColumn("bucket", F.bitmap_bucket_number(bit))
+        .withColumn("place", place)
+        .join(F.broadcast(field), "bucket")
+        .where(byte.bitwiseAND(mask) != 0)
+        .drop("bucket", "place", "field")
+    )
+
+
+def _clashing(keyed: DataFrame, entries: DataFrame) -> DataFrame:
+    """Digests under which some text differs from the text at the locator of their entry.
+
+    Copies are folded on their bytes within each task, and of equal texts the least place is kept: a
+    text that is not the one at the locator has another.
+    """
+    hits = stage(entries.where("group_size > 1").select("digest", "locator"), "dedup-hits")
+    texts = _maybe_hit(keyed, hits).groupBy("digest", "text").agg(F.min("locator").alias("at"))
+    return texts.join(hits, "digest").where("at <> locator").select("digest").distinct()
+
+
 def _entries(spark: SparkSession, path: str, schema, digest, trigger: dict) -> DataFrame:
     """Run the stream over what is at `path`; its state at the end: one row per digest."""
     updates = unique_path(spark, "dedup-updates")
@@ -36,10 +74,11 @@ def _entries(spark: SparkSession, path: str, schema, digest, trigger: dict) -> D
     source = spark.readStream.schema(schema)
     for key, value in trigger.items():
         source = source.option(key, value)
-    locator = F.struct("_metadata.file_path", "_metadata.row_index")
+    rows = source.parquet(path)
     folded = (
-        source.parquet(path)
-        .select("doc_id", digest(F.coalesce("text", F.lit(""))).alias("digest"), locator.alias("locator"))
+        rows.select(
+            "doc_id", digest(F.coalesce("text", F.lit(""))).alias("digest"), _locator(rows).alias("locator")
+        )
         .groupBy("digest")
         .agg(
             F.max("doc_id").alias("keep_id"),
@@ -94,20 +133,15 @@ def deduplicate(
     rows; other columns are ignored. `trigger` are options of the file source, such as
     maxFilesPerTrigger; whatever the batches, the result is the same.
     """
-    documents = spark.read.parquet(path).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    schema = spark.read.parquet(path).schema
+    documents = spark.read.parquet(path)
     options = trigger or {"maxBytesPerTrigger": BATCH_BYTES}
-    entries = stage(_entries(spark, path, schema, digest, options), "dedup-entries")
+    entries = stage(_entries(spark, path, documents.schema, digest, options), "dedup-entries")
 
-    # Full bytes: texts under one digest are compared as grouping keys, folded within each task.
-    keyed = documents.withColumn("digest", digest(F.col("text")))
-    contents = keyed.groupBy("digest", "text").agg(
-        F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
-    )
-    clashing = stage(
-        contents.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"),
-        "dedup-clashes",
-    )
+    keyed = documents.select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"), _locator(documents).alias("locator")
+    ).withColumn("digest", digest(F.col("text")))
+    clashing = stage(_clashing(keyed, entries), "dedup-clashes")
+    keyed = keyed.drop("locator")
     narrow = keyed.select("doc_id", "digest", sha256(F.col("text")).alias("text_sha256"))
     if clashing.isEmpty():
         found = narrow.join(entries, "digest")
