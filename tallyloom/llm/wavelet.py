@@ -141,7 +141,7 @@ class Shard:
     @cached_property
     def tokens(self) -> np.ndarray:
         """All ids in order, from the lowest plane up."""
-        values = np.zeros(self.n, np.uint32)
+        values = np.zeros(self.n, np.uint16 if self.bits <= 16 else np.uint32)
         for plane in reversed(range(self.bits)):
             packed = [self._plane_block(plane, b) for b in range(self._ends.shape[1])]
             raw = np.concatenate(packed) if packed else np.empty(0, np.uint8)
@@ -149,9 +149,9 @@ class Shard:
             zeros = int(self.zeros[plane])
             above = np.empty_like(values)
             above[~ones] = values[:zeros]
-            above[ones] = values[zeros:] | np.uint32(1 << (self.bits - 1 - plane))
+            above[ones] = values[zeros:] | values.dtype.type(1 << (self.bits - 1 - plane))
             values = above
-        return values
+        return values.astype(np.uint32)
 
 
 def encode_shard(tokens: np.ndarray, doc_ids: list, lengths: list[int]) -> bytes:
@@ -219,7 +219,9 @@ class Encoder:
     mislead, the texts go to the tokenizer whole. Learned pieces are kept up to KNOWN bytes.
     """
 
-    KNOWN = 8_000_000
+    KNOWN = 16_000_000
+    #: Size, as a power of two, of the table that finds most known pieces without a search.
+    TABLE = 23
     #: New pieces handed to the tokenizer as one text; its overhead per text is large.
     TOGETHER = 512
 
@@ -237,6 +239,8 @@ class Encoder:
 
     def _forget(self):
         self.hashes, self.slots = np.empty(0, np.uint64), np.empty(0, np.int64)
+        # By the top bits of a hash, the last slot learned with them; what it holds is compared.
+        self.table, self.slot_hashes = np.zeros(1 << self.TABLE, np.int32), np.zeros(1, np.uint64)
         self.raw, self.raw_begins = np.empty(0, np.uint8), np.zeros(1, np.int64)
         self.ids, self.begins = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
@@ -275,11 +279,34 @@ class Encoder:
         at = np.searchsorted(self.hashes, hashes[rank])
         self.hashes = np.insert(self.hashes, at, hashes[rank])
         self.slots = np.insert(self.slots, at, slots[rank])
+        self.slot_hashes = np.concatenate((self.slot_hashes[: slots[0]], hashes))
+        self.table[self._top(hashes)] = slots
         self.raw = np.concatenate((self.raw, raw))
         self.raw_begins = np.concatenate((self.raw_begins, self.raw_begins[-1] + begins[1:]))
         self.ids = np.concatenate((self.ids, ids))
         self.begins = np.concatenate((self.begins, self.begins[-1] + np.cumsum(counts)))
 
+    def _top(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.TABLE)).astype(np.int64)
+
+    def _find(self, words: bw.Words) -> np.ndarray:
+        """The slot of every piece; those not known are learned."""
+        hashes = bw.hash_words(words)
+        slot = self.table[self._top(hashes)].astype(np.int64)
+        missed = np.flatnonzero(self.slot_hashes[slot] != hashes)
+        if not len(missed):
+            return slot
+        unique, first, index = np.unique(hashes[missed], return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, unique)
+        new = np.ones(len(unique), bool)
+        inside = at < len(self.hashes)
+        new[inside] = self.hashes[at[inside]] != unique[inside]
+        if new.any():
+            self._learn(words, missed[first[new]], unique[new])
+            at = np.searchsorted(self.hashes, unique)
+        slot[missed] = self.slots[at][index]
+        return slot
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each ended by END, and the number of each.
 
@@ -308,19 +335,12 @@ class Encoder:
         ends[final] -= 1  # without the blank behind the text
         held = np.flatnonzero(ends > starts)
         words = bw.Words(buffer, starts[held], ends[held], held, held)
-        hashes = bw.hash_words(words)
-        unique, first, index = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.hashes, unique)
-        new = np.ones(len(unique), bool)
-        new[at < len(self.hashes)] = self.hashes[at[at < len(self.hashes)]] != unique[at < len(self.hashes)]
-        if new.any():
-            self._learn(words, first[new], unique[new])
-            at = np.searchsorted(self.hashes, unique)
-        slot = self.slots[at][index] if len(unique) else np.empty(0, np.int64)
+        slot = self._find(words)
         sizes = self.raw_begins[slot + 1] - self.raw_begins[slot]
         same = np.array_equal(sizes, words.ends - words.starts)
+        # The pieces in a row are the texts without the blank behind each.
         if not same or not np.array_equal(
-            self.raw[_ranges(self.raw_begins[slot], sizes)], buffer[_ranges(words.starts, sizes)]
+            self.raw[_ranges(self.raw_begins[slot], sizes)], np.delete(buffer, offsets[1:] - 1)
         ):
             found = [ids + [END] for ids in self._ask(pc.fill_null(texts, "").to_pylist())]
             return np.array([i for ids in found for i in ids], np.uint32), np.array([len(f) for f in found])
@@ -343,7 +363,9 @@ def encoder(path: str) -> Encoder:
 def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers begin, begin + 1, ... of every range, in a row."""
     ends = np.cumsum(sizes)
-    return np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+    numbers = np.repeat(begins - (ends - sizes), sizes)
+    numbers += np.arange(len(numbers))
+    return numbers
 
 
 def write_shards(documents: DataFrame, path: str, tokenizer: str, shard_tokens: int = SHARD_TOKENS) -> None:
