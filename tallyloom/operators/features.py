@@ -13,7 +13,7 @@ from tallyloom.operators import factors
 from tallyloom.operators.joins import join_by_frequency
 from tallyloom.operators.shaping import col, require
 from tallyloom.operators.topics import Features, fit_features
-from tallyloom.operators.words import term_frequencies, topic_tokens
+from tallyloom.operators.words import HOT_WORDS, term_frequencies, topic_tokens
 from tallyloom.session import stage
 from tallyloom.sources.tables import rows_table, write_table
 
@@ -46,12 +46,11 @@ class FeatureModel:
 def fit_model(
     df: DataFrame, id: str, text: str, stop_words: Sequence[str] | None = None
 ) -> tuple[FeatureModel, Features]:
-    """Weigh all words of a corpus and keep what later posts need: the model, and the corpus' features."""
+    """Count all words of a corpus and keep what later posts need: the model, and the corpus' features,
+    which are weighed when they are asked for."""
     drop = english_stop_words() if stop_words is None else stop_words
     features = fit_features(df, id, text, drop)
-    documents = df.where(col(text).isNotNull()).count()
-    occurrences = features.words.agg(F.sum("df")).first()[0] or 0
-    return FeatureModel(features.words, documents, features.size, occurrences, list(drop)), features
+    return FeatureModel(features.words, features.documents, features.size, features.occurrences, list(drop)), features
 
 
 @dataclass(frozen=True)
@@ -67,13 +66,13 @@ def transform(model: FeatureModel, df: DataFrame, id: str, text: str) -> Transfo
     """Features of posts under a fitted model: tf of the post times idf of the fitted corpus.
 
     Words the model has not seen have no weight and are counted. The words that are frequent in the
-    fitted corpus, fewer than a thousand, are joined by broadcast and the rest by a shuffle.
+    fitted corpus, fewer than HOT_WORDS, are joined by broadcast and the rest by a shuffle.
     """
     require(df, [id, text])
     known = df.where(col(text).isNotNull())
     counted = stage(term_frequencies(known, id, topic_tokens(col(text), model.stop_words)), "new-terms")
     idf = F.ln((F.lit(model.documents) + 1) / (F.col("df") + 1))
-    joined = join_by_frequency(counted, model.words, "word", "df", F.lit(model.occurrences))
+    joined = join_by_frequency(counted, model.words, "word", "df", F.lit(model.occurrences), HOT_WORDS)
     terms = stage(joined.select(col(id), "index", "word", "tf", (F.col("tf") * idf).alias("weight")), "new-weights")
     seen = terms.groupBy(col(id)).agg(F.sum("tf").alias("seen"))
     every = counted.groupBy(col(id)).agg(F.sum("tf").alias("every"))
@@ -86,11 +85,6 @@ def transform(model: FeatureModel, df: DataFrame, id: str, text: str) -> Transfo
     return Transformed(terms, coverage)
 
 
-def _numbered(terms: DataFrame, id: str) -> DataFrame:
-    """(id, row): a number for every document of a table of terms."""
-    return stage(terms.select(col(id)).distinct().withColumn("row", F.monotonically_increasing_id()), "numbers")
-
-
 @dataclass(frozen=True)
 class TopicFactors:
     """topics: (topic, index, weight); documents: (id, topic, weight); losses: per round."""
@@ -107,12 +101,9 @@ def topic_factors(
 
     Both factors are tables; a document or word whose weights are all zero has no rows.
     """
-    numbers = _numbered(terms, id)
-    entries = terms.join(numbers, id).select(
-        "row", F.col("index").cast("bigint").alias("column"), F.col(value).cast("double").alias("value")
-    )
-    found = factors.factorise(factors.sparse(entries), k, rounds, seed, least_gain)
-    documents = factors.entries_of(found.rows, k, "row", "topic").join(numbers, "row")
+    table, numbers = factors.sparse_terms(terms, id, value)
+    found = factors.factorise(table, k, rounds, seed, least_gain)
+    documents = factors.named(factors.entries_of(found.rows, k, "row", "topic"), numbers, id)
     return TopicFactors(
         factors.entries_of(found.columns, k, "index", "topic").select("topic", "index", "weight"),
         documents.select(col(id), "topic", "weight"),
@@ -153,12 +144,9 @@ def cluster_terms(terms: DataFrame, id: str, k: int = 5, rounds: int = 10, seed:
     weights are in no cluster.
     """
     unit = stage(unit_terms(terms, id), "unit-terms")
-    numbers = _numbered(unit, id)
-    entries = unit.join(numbers, id).select(
-        "row", F.col("index").cast("bigint").alias("column"), F.col("unit").alias("value")
-    )
-    found = factors.bisect(factors.sparse(entries), k, rounds, seed)
-    assigned = found.assigned.join(numbers, found.assigned["index"] == numbers["row"])
+    table, numbers = factors.sparse_terms(unit, id, "unit")
+    found = factors.bisect(table, k, rounds, seed)
+    assigned = factors.named(found.assigned.withColumnRenamed("index", "row"), numbers, id)
     return found.centroids.select("cluster", "index", "weight"), assigned.select(col(id), "cluster", "similarity")
 
 
