@@ -10,7 +10,6 @@ from tallyloom.operators import assembly, features, topics, words
 from tallyloom.operators.ordering import rank_top_bottom
 from tallyloom.plans.posting_reports import COMMUNITY, KEY, POST
 from tallyloom.sources.catalog import Catalog
-from tallyloom.sources.tables import save_model
 
 
 def run(
@@ -39,8 +38,8 @@ def run(
     factors = features.topic_factors(weighed.terms, KEY, rounds=10)
     catalog.save(factors.topics, "topic_words")
     catalog.save(factors.documents, "topic_posts")
-    model, clustered = topics.cluster_posts(posts, KEY, POST, stop_words=stop, features=weighed)
-    save_model(model, catalog.table_path("cluster_model"))
+    means, clustered = topics.cluster_documents(posts, KEY, POST, stop_words=stop, features=weighed)
+    catalog.save(means, "cluster_means")
     catalog.save(clustered, "clustered_posts")
     clustered = catalog.table(spark, "clustered_posts")
     catalog.report(topics.cluster_top_words(clustered), "topics/cluster_words")
