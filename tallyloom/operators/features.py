@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from tallyloom.operators.joins import join_by_frequency
 from tallyloom.operators.shaping import col, require
 from tallyloom.operators.topics import Features, fit_features
 from tallyloom.operators.words import HOT_WORDS, term_frequencies, topic_tokens
-from tallyloom.session import stage
+from tallyloom.session import clearings, stage
 from tallyloom.sources.tables import rows_table, write_table
 
 _FACTS = "documents bigint, size bigint, occurrences bigint, stop_words array<string>"
@@ -129,11 +130,17 @@ def topic_loss(terms: DataFrame, found: TopicFactors, id: str, value: str = "tf"
     return seen + (both.agg(F.sum(F.col("g") * F.col("h"))).first()[0] or 0.0)
 
 
-def unit_terms(terms: DataFrame, id: str) -> DataFrame:
-    """Terms with `unit`: the weight in a document vector of unit length. Weightless ones go."""
-    lengths = stage(terms.groupBy(col(id)).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length")), "lengths")
-    joined = terms.where("weight <> 0").join(lengths, id)
-    return joined.withColumn("unit", F.col("weight") / F.col("length")).drop("length")
+#: Packed terms by their DataFrame: clusters and similarities of the same terms pack them once.
+_packed: WeakKeyDictionary[DataFrame, dict] = WeakKeyDictionary()
+
+
+def unit_table(terms: DataFrame, id: str) -> tuple[factors.Sparse, DataFrame]:
+    """Terms as a sparse table of document vectors of unit length, and the numbers of the documents.
+    Weightless terms go."""
+    known, key = _packed.setdefault(terms, {}), (id, clearings())
+    if key not in known:
+        known[key] = factors.sparse_terms(terms.where("weight <> 0"), id, "weight", unit=True)
+    return known[key]
 
 
 def cluster_terms(terms: DataFrame, id: str, k: int = 5, rounds: int = 10, seed: int = 1) -> tuple[DataFrame, DataFrame]:
@@ -143,17 +150,25 @@ def cluster_terms(terms: DataFrame, id: str, k: int = 5, rounds: int = 10, seed:
     Any number of words: no centroid is held by the driver or a single task. Documents without
     weights are in no cluster.
     """
-    unit = stage(unit_terms(terms, id), "unit-terms")
-    table, numbers = factors.sparse_terms(unit, id, "unit")
+    table, numbers = unit_table(terms, id)
     found = factors.bisect(table, k, rounds, seed)
     assigned = factors.named(found.assigned.withColumnRenamed("index", "row"), numbers, id)
     return found.centroids.select("cluster", "index", "weight"), assigned.select(col(id), "cluster", "similarity")
 
 
 def similarities(terms: DataFrame, centroids: DataFrame, id: str) -> DataFrame:
-    """(id, cluster, similarity) of documents, new ones too, with every centroid that shares a word."""
-    scored = unit_terms(terms, id).join(centroids.withColumnRenamed("weight", "centre"), "index")
-    return scored.groupBy(col(id), "cluster").agg(F.sum(F.col("unit") * F.col("centre")).alias("similarity"))
+    """(id, cluster, similarity) of documents, new ones too, with every centroid that shares a word.
+
+    One pass over the packed terms: a block gets the centroids' weights of its words, and the rows that
+    are made are those returned."""
+    table, numbers = unit_table(terms, id)
+    clusters = sorted(r[0] for r in centroids.select("cluster").distinct().collect() if r[0] is not None)  # k rows
+    names = rows_table(terms.sparkSession, enumerate(clusters), "place int, cluster long")
+    width = max(1, len(clusters))
+    placed = centroids.join(F.broadcast(names), "cluster")
+    found = factors.products(table, factors.factor_of(table, placed, width), width).join(F.broadcast(names), "place")
+    cluster = F.col("cluster").cast(centroids.schema["cluster"].dataType).alias("cluster")
+    return factors.named(found, numbers, id).select(col(id), cluster, F.col("product").alias("similarity"))
 
 
 def nearest_clusters(terms: DataFrame, centroids: DataFrame, id: str) -> DataFrame:
